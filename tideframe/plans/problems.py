@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions import normal
-from tideframe.operators import changefeed, latebars, redelivery
+from tideframe.operators import changefeed, latebars, redelivery, spikes
 from tideframe.session import scratch
 
 TRADE_KEY = {"exchange": normal.exchange, "trade_id": F.col, "timestamp": F.col}
@@ -80,6 +80,26 @@ def p3_dropped(spark: SparkSession, d: str) -> DataFrame:
     return _bars(spark, d).dropped().groupBy("exchange", "symbol", "duration").agg(F.count("*").alias("n"), F.max("late_by_ms").alias("worst_ms"))
 
 
+def _flags(spark: SparkSession, d: str) -> DataFrame:
+    ticker = spark.read.parquet(f"{d}/ticker.parquet").select("rec_no", "exchange", "symbol", "timestamp", "bid", "ask")
+    trades = spark.read.parquet(f"{d}/trades.parquet").select("rec_no", "collected_at", "exchange", "symbol", "trade_id", "timestamp", "price")
+    return spikes.flags(ticker, trades)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _flags(spark, d).select("source_table", "rec_no").distinct()
+
+
+def p4_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return _flags(spark, d).groupBy("source_table", "reason").agg(F.count("*").alias("n"))
+
+
+def p4_fences(spark: SparkSession, d: str) -> DataFrame:
+    """Fences for each source, field and hour; the sketches behind them are not deterministic in their last digits."""
+    ticker, trades = spark.read.parquet(f"{d}/ticker.parquet"), spark.read.parquet(f"{d}/trades.parquet")
+    return spikes.fences(spikes.readings(ticker, trades))
+
+
 def queries() -> dict:
     return {n: f for n, f in globals().items() if n[:1] == "p" and n[1:2].isdigit()}
 
@@ -93,8 +113,26 @@ _LEVELS = """(select * from (select lower(trim(exchange)) exchange, symbol, case
  qualify row_number() over (partition by exchange, symbol, side, price_e8 order by sequence_num desc, gone desc) = 1)"""
 
 
+_READINGS = f"""(select 'ticker' tbl, lower(trim(exchange)) ex, replace(symbol, '-', '/') sy, "timestamp" ts, rec_no id, null tid, v, f from (select distinct rec_no, exchange, symbol, "timestamp", bid, ask from ticker qualify row_number() over (partition by rec_no) = 1), lateral (values (bid, 1), (ask, 2)) u(v, f)
+ union all select 'trades', ex, symbol, "timestamp", rec_no, trade_id, price, 1 from {_TRADES_ONCE})"""
+_FLAGS = f"""(with r as (select * from {_READINGS} where ts is not null and v is not null),
+ w as (select *, abs(v - lag(v) over o) dl, median(v) over (partition by tbl, ex, sy, f order by ts, id rows between 5 preceding and 1 preceding) mb, median(v) over (partition by tbl, ex, sy, f order by ts, id rows between 1 following and 5 following) ma
+  from r window o as (partition by tbl, ex, sy, f order by ts, id)),
+ m as (select tbl, ex, sy, f, median(dl) md from w where dl > 0 group by all),
+ spike as (select w.* from w join m using (tbl, ex, sy, f) where (v - mb) * (v - ma) > 0 and least(abs(v - mb), abs(v - ma)) > 10 * md),
+ k as (select *, (bid = lag(bid) over o and ask = lag(ask) over o) is not true chg from (select distinct on (rec_no) rec_no, lower(trim(exchange)) ex, replace(symbol, '-', '/') sy, "timestamp" ts, bid, ask from ticker where bid is not null and ask is not null) window o as (partition by ex, sy order by ts)),
+ k2 as (select *, sum(chg::int) over (partition by ex, sy order by ts) run from k),
+ k3 as (select *, count(*) over (partition by ex, sy, run) len from k2),
+ bad as (select tbl, id rec_no, 'spike' reason from spike union all select 'ticker', rec_no, 'stuck' from k3 where len >= 12 and not chg
+  union all select 'ticker', rec_no, 'impossible' from ticker where bid <= 0 or ask <= 0 or bid > ask union all select 'trades', rec_no, 'impossible' from trades where price <= 0)
+ select distinct tbl source_table, rec_no, reason from bad
+ union select 'trades', t.rec_no, b.reason from bad b join trades x on b.tbl = 'trades' and x.rec_no = b.rec_no join trades t on lower(trim(t.exchange)) = lower(trim(x.exchange)) and t.trade_id = x.trade_id and t."timestamp" = x."timestamp")"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_found": f"select distinct source_table, rec_no from {_FLAGS}",
+        "p4_reasons": f"select source_table, reason, count(*) n from {_FLAGS} group by 1, 2",
         "p1_found": """select lower(trim(exchange)) exchange, trade_id, "timestamp" from trades where exchange is not null and trade_id is not null and "timestamp" is not null group by 1, 2, 3 having count(*) > 1""",
         "p1_trades_once": f"""select rec_no, ex exchange, symbol, trade_id, "timestamp", price, amount from {_TRADES_ONCE}""",
         "p2_found": f"select exchange, symbol, side, price_e8, sequence_num from {_LEVELS} where not gone",
