@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions import normal
-from tideframe.operators import changefeed, latebars, redelivery, spikes
+from tideframe.operators import changefeed, drift, latebars, redelivery, spikes
 from tideframe.session import scratch
 
 TRADE_KEY = {"exchange": normal.exchange, "trade_id": F.col, "timestamp": F.col}
@@ -100,6 +100,26 @@ def p4_fences(spark: SparkSession, d: str) -> DataFrame:
     return spikes.fences(spikes.readings(ticker, trades))
 
 
+#: The consistent ticker table, and the names under which venues are known to send its columns.
+TICKER_COLUMNS = {
+    "symbol": "string", "timestamp": "epoch_ms", "bid": "double", "ask": "double", "bid_volume": "double", "ask_volume": "double", "last": "double",
+    "open": "double", "high": "double", "low": "double", "vwap": "double", "base_volume": "double", "quote_volume": "double", "info_json": "string",
+}
+TICKER_NAMES = {"bidVolume": "bid_volume", "askVolume": "ask_volume", "baseVolume": "base_volume", "quoteVolume": "quote_volume"}
+#: Names approved after a look at the report of changes; their values are replayed from the rescue column.
+TICKER_NAMES_LATER = {"bidQty": "bid_volume", "askQty": "ask_volume", "close": "last"}
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return drift.changes(spark.read.parquet(f"{d}/ticker_raw.parquet"))
+
+
+def p5_table(spark: SparkSession, d: str) -> DataFrame:
+    raw = spark.read.parquet(f"{d}/ticker_raw.parquet").withColumn("exchange", normal.exchange("exchange"))
+    t = drift.ingest(raw, TICKER_COLUMNS, TICKER_NAMES, ["exchange", "file_seq", "line_no"])
+    return drift.replay(t, TICKER_COLUMNS, TICKER_NAMES_LATER)
+
+
 def queries() -> dict:
     return {n: f for n, f in globals().items() if n[:1] == "p" and n[1:2].isdigit()}
 
