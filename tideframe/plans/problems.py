@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions import normal
-from tideframe.operators import changefeed, drift, latebars, redelivery, spikes
+from tideframe.operators import changefeed, drift, latebars, redelivery, smallfiles, spikes
 from tideframe.session import scratch
 
 TRADE_KEY = {"exchange": normal.exchange, "trade_id": F.col, "timestamp": F.col}
@@ -120,6 +120,18 @@ def p5_table(spark: SparkSession, d: str) -> DataFrame:
     return drift.replay(t, TICKER_COLUMNS, TICKER_NAMES_LATER)
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return smallfiles.superseded(smallfiles.ticker_records(spark.read.parquet(f"{d}/ticker.parquet")))
+
+
+def p6_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The consolidated table, read back from its files."""
+    path = f"{d}/ticker.parquet"
+    c = smallfiles.compact(spark, path, rows_per_file=50_000)
+    cols = ["rec_no", "timestamp", "bid", "ask", "base_volume"]
+    return spark.read.schema(spark.read.parquet(path).schema).parquet(c.path).select(normal.exchange("exchange").alias("exchange"), normal.instrument("symbol").alias("symbol"), *cols)
+
+
 def queries() -> dict:
     return {n: f for n, f in globals().items() if n[:1] == "p" and n[1:2].isdigit()}
 
@@ -149,8 +161,15 @@ _FLAGS = f"""(with r as (select * from {_READINGS} where ts is not null and v is
  union select 'trades', t.rec_no, b.reason from bad b join trades x on b.tbl = 'trades' and x.rec_no = b.rec_no join trades t on lower(trim(t.exchange)) = lower(trim(x.exchange)) and t.trade_id = x.trade_id and t."timestamp" = x."timestamp")"""
 
 
+_REC = """(select distinct lower(trim(exchange)) || chr(1) || replace(symbol, '-', '/') || chr(1) || date g, file_no, rec_no from ticker)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p6_found": f"""with r as {_REC}, n as (select file_no, count(*) n from r group by 1)
+ select distinct a.file_no from r a join r b on a.g = b.g and a.rec_no = b.rec_no and a.file_no <> b.file_no join n on n.file_no = a.file_no join n m on m.file_no = b.file_no
+ where m.n > n.n or (m.n = n.n and b.file_no < a.file_no) group by a.file_no, b.file_no, n.n having count(*) = n.n""",
+        "p6_compacted": """select rec_no, "timestamp", bid, ask, base_volume, lower(trim(exchange)) exchange, replace(symbol, '-', '/') symbol from ticker qualify row_number() over (partition by rec_no order by file_no) = 1""",
         "p4_found": f"select distinct source_table, rec_no from {_FLAGS}",
         "p4_reasons": f"select source_table, reason, count(*) n from {_FLAGS} group by 1, 2",
         "p1_found": """select lower(trim(exchange)) exchange, trade_id, "timestamp" from trades where exchange is not null and trade_id is not null and "timestamp" is not null group by 1, 2, 3 having count(*) > 1""",
