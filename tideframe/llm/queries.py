@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions import normal
-from tideframe.llm import leak, nearest, packing
+from tideframe.llm import leak, nearest, packing, pii
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -38,6 +38,18 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.count(F.when(F.col("answer_too"), 1)).alias("with_answer"))
 
 
+def _tagger(spark: SparkSession, d: str) -> pii.Model:
+    return pii.model_for(spark.read.parquet(f"{d}/name_lexicon.parquet"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find(packing.read_documents(spark, d), _tagger(spark, d)).select("doc_id", "pii_type", "start_pos").distinct()
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redact(packing.read_documents(spark, d), _tagger(spark, d))
+
+
 def queries() -> dict:
     return {n: f for n, f in globals().items() if n[:1] == "p" and n[1:2].isdigit()}
 
