@@ -13,6 +13,7 @@ characters of the whole text; overlapping occurrences do not arise; repeated row
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -119,6 +120,7 @@ class Model:
     moves: np.ndarray
     given: frozenset = field(default_factory=frozenset)
     surnames: frozenset = field(default_factory=frozenset)
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def rows(self, token: str) -> list[int]:
         get = self.features.get
@@ -302,15 +304,15 @@ class Tagger:
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.table = np.zeros((4096, PLACES_SEEN, L), np.float32)
-        self.kinds = np.zeros(4096, np.int64)
+        self.kinds, self.sizes, self.bares = (np.zeros(4096, np.int64) for _ in range(3))
 
     def _new(self, token: str) -> int:
         i = len(self.number) + 1
         if i >= len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.kinds = np.concatenate([self.kinds, np.zeros_like(self.kinds)])
+            self.kinds, self.sizes, self.bares = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kinds, self.sizes, self.bares))
         self.table[i] = self.words[self.m.rows(token)].sum(axis=0)
-        self.kinds[i] = _kind(token)
+        self.kinds[i], self.sizes[i], self.bares[i] = _kind(token), len(token), len(token.lstrip())
         self.number[token] = i
         return i
 
@@ -341,13 +343,12 @@ class Tagger:
         if not toks:
             return
         t = np.array([get(x) or self._new(x) for x in toks], np.int64)
-        size = np.array([len(x) for x in toks], np.int64)
+        size, bare = self.sizes[t], self.bares[t]
         count = np.array(count)
         line = np.repeat(np.arange(len(lines)), count)
         ends = np.cumsum(size)
         heads = np.concatenate([[0], np.cumsum(count)[:-1]])
         offset = ends[np.maximum(heads - 1, 0)] * (heads > 0)
-        bare = np.array([len(x.lstrip()) for x in toks], np.int64)
         e = self._emissions(t, bare, line)
         # A labelled stretch can only pay if one of its tokens pays by itself with the best move.
         pays = np.zeros(len(lines), bool)
@@ -442,6 +443,18 @@ def model_for(lexicon: DataFrame) -> Model:
     return _MODELS[key]
 
 
+_TAGGERS: dict[str, Tagger] = {}
+
+
+def _tagger(held) -> Tagger:
+    """The tagger of this worker process: what it knows serves all tasks the process runs."""
+    model = held.value
+    if model.key not in _TAGGERS:
+        _TAGGERS.clear()
+        _TAGGERS[model.key] = Tagger(model)
+    return _TAGGERS[model.key]
+
+
 _FOUND = schemas.of(doc_id="long", pii_type="string", start_pos="int", end_pos="int")
 
 
@@ -450,7 +463,7 @@ def find(documents: DataFrame, model: Model) -> DataFrame:
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        tagger = Tagger(held.value)
+        tagger = _tagger(held)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
@@ -468,7 +481,7 @@ def redact(documents: DataFrame, model: Model) -> DataFrame:
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        tagger = Tagger(held.value)
+        tagger = _tagger(held)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
