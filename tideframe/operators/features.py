@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,25 +10,94 @@ from pyspark.sql import functions as F
 from tideframe.config import FeatureConfig
 from tideframe.functions import normal
 from tideframe.operators import asof, bars, book, flow, rolling, split
+from tideframe.operators.ordered import OrderedTable
 
 BY = ["exchange", "symbol"]
 
 
-def downsample(df: DataFrame, by: list[str], ts: str, interval_ms: int, seq: str = "seq") -> DataFrame:
-    """Rows at least ``interval_ms`` after the last row kept of their key, greedily from the first; rows before the interval since 0 are left out.
+def _sources(t: pa.Table, by: list[str]):
+    """First row of each key in an ordered partition, with the end."""
+    import numpy as np
+    import pyarrow.compute as pc
 
-    Only the times of a key are folded, one after the other, since each choice rests on the one before. Distinct
-    times are enough, and of those only the first in each interval of a grid half as wide can be a choice's successor
-    or its neighbour, so at most two times for each interval of the key's span are folded.
+    new = np.zeros(t.num_rows, bool)
+    new[0] = True
+    for c in by:
+        x = t[c].combine_chunks()
+        if t.num_rows > 1:
+            a, b = x.slice(1), x.slice(0, t.num_rows - 1)
+            same = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False) | (pc.is_null(a).to_numpy(zero_copy_only=False) & pc.is_null(b).to_numpy(zero_copy_only=False))
+            new[1:] |= ~same
+    heads = np.flatnonzero(new)
+    return heads, np.concatenate([heads[1:], [t.num_rows]])
+
+
+def _greedy(times, last: int, interval: int) -> list[int]:
+    """Indices of the times kept, and so the last of them."""
+    import numpy as np
+
+    out, i = [], int(np.searchsorted(times, last + interval))
+    while i < len(times):
+        out.append(i)
+        i = int(np.searchsorted(times, times[i] + interval))
+    return out
+
+
+def downsample(df: DataFrame, by: list[str], ts: str, interval_ms: int, seq: str = "seq", partitions: int | None = None) -> DataFrame:
+    """Rows at least ``interval_ms`` after the last row kept of their key, greedily, from a last row at time 0.
+
+    Each choice rests on the one before, yet a key may lie in many partitions: one that holds nothing else tells, for each of
+    the few times at which a chain can enter it (those within one interval of its start), where that chain leaves it.
+    The entries are then known for all partitions from these short tables. Rows without a time are left out.
     """
-    half = max(1, interval_ms // 2)
-    t = df.filter(F.col(ts).isNotNull()).groupBy(*by, F.expr(f"{ts} div {half}").alias("_g")).agg(F.collect_set(ts).alias("_ts"))
-    t = t.groupBy(*by).agg(F.array_sort(F.flatten(F.collect_list("_ts"))).alias("_all"))
-    zero = F.struct(F.lit(0).cast("long").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-    step = lambda a, x: F.when(x - a["last"] >= interval_ms, F.struct(x.alias("last"), F.array_append(a["kept"], x).alias("kept"))).otherwise(a)
-    kept = t.select(*by, F.explode(F.aggregate("_all", zero, step, lambda a: a["kept"])).alias(ts))
-    first = F.row_number().over(W.partitionBy(*by, ts).orderBy(seq))
-    return df.join(kept, [*by, ts], "left_semi").withColumn("_r", first).filter("_r = 1").drop("_r")
+    narrow = df.filter(F.col(ts).isNotNull()).select(*by, F.col(ts).alias("_t"), F.col(seq).cast("long").alias("_q"))
+    table = OrderedTable(narrow, [*by, "_t", "_q"], partitions)
+
+    def edge(t: pa.Table) -> dict:
+        import numpy as np
+
+        heads, ends = _sources(t, by)
+        name = lambda i: [str(t[c][int(i)].as_py()) for c in by]
+        times = t["_t"].to_numpy()
+        out = {"first": name(heads[0]), "last": name(heads[-1]), "whole": len(heads) == 1}
+        if out["whole"]:
+            u = np.unique(times)
+            leave = np.arange(len(u))
+            after = np.searchsorted(u, u + interval_ms)
+            for i in range(len(u) - 1, -1, -1):
+                if after[i] < len(u):
+                    leave[i] = leave[after[i]]
+            n = min(len(u), int(np.searchsorted(u, u[0] + interval_ms, "right")) + 1)
+            out["ways"] = [[int(u[i]), int(u[leave[i]])] for i in range(n)]
+        else:
+            own = times[heads[-1] :]
+            got = _greedy(own, 0, interval_ms)
+            out["leaves"] = int(own[got[-1]]) if got else 0
+        return out
+
+    entries: dict[int, int] = {}
+    key, last = None, 0
+    edges = table.edges(edge)
+    for p in sorted(edges):
+        e = edges[p]
+        entries[p] = last if e["first"] == key else 0
+        if e["whole"]:
+            way = next((w for w in e["ways"] if w[0] >= entries[p] + interval_ms), None)
+            last = way[1] if way else entries[p]
+        else:
+            last = e["leaves"]
+        key = e["last"]
+
+    def choose(t: pa.Table, entry: int) -> pa.Table:
+        heads, ends = _sources(t, by)
+        times, keep = t["_t"].to_numpy(), []
+        for k, (a, b) in enumerate(zip(heads.tolist(), ends.tolist())):
+            keep += [a + i for i in _greedy(times[a:b], entry if k == 0 else 0, interval_ms)]
+        return t.select([*by, "_t", "_q"]).take(pa.array(keep, pa.int64()))
+
+    kept = table.scan(choose, narrow.schema, entries)
+    cond = [df[c].eqNullSafe(kept[c]) for c in by] + [df[ts] == kept["_t"], df[seq].cast("long") == kept["_q"]]
+    return df.join(kept, cond, "left_semi")
 
 
 def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY) -> DataFrame:

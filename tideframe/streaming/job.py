@@ -1,0 +1,85 @@
+"""The ETL job: closed segments to channel datasets, by batch or as a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tideframe.config import Config, FeatureConfig
+from tideframe.functions import fs
+from tideframe.operators import enrich, features, parse
+from tideframe.session import materialise
+from tideframe.sources import segments, sinks
+from tideframe.streaming import live
+
+
+def with_arrival(messages: DataFrame) -> DataFrame:
+    """Adds ``seq``, the order of arrival within a key: by segment name, then line."""
+    w = W.partitionBy("exchange", "symbol").orderBy("_file", "_line")
+    return messages.withColumn("seq", F.row_number().over(w))
+
+
+def process_segments(spark: SparkSession, paths: list[str], out: str, cfg: Config = Config(), features_of_books: bool = True) -> dict[str, int]:
+    """Parse segments once and write every enabled channel; books also give features (hf) and bars. Counts lines and rejects."""
+    lines = segments.read_lines(spark, paths)
+    parsed, bad = segments.parse_json(lines, parse.ENVELOPE)
+    parsed = materialise(parsed, "parsed")
+    stats = {"messages": parsed.count(), "rejected": bad.count()}
+    outputs: dict[str, DataFrame] = {}
+    for c in cfg.enabled_channels():
+        if c == "ticker":
+            outputs[c] = enrich.unified_ticker(parse.ticker(parsed))
+        elif c == "trades":
+            outputs[c] = enrich.unified_trades(parse.trades(parsed))
+        elif c == "orderbook":
+            o = cfg.channels[c].processor_options
+            if not features_of_books:
+                outputs[c] = parse.orderbook(parsed)
+                continue
+            seq = with_arrival(parsed)
+            fc = FeatureConfig.from_options(o)
+            b = parse.orderbook(seq, ["seq"]).withColumn("ts", F.col("timestamp"))
+            t = parse.trades(seq, ["seq"]).withColumn("ts", F.col("timestamp"))
+            outputs["orderbook_hf"] = features.hf_features(b.select("exchange", "symbol", "ts", "seq", "bids", "asks"), t.select("exchange", "symbol", "ts", "seq", "side", "amount"), fc)
+            outputs["orderbook_bars"] = features.feature_bars(b.select("exchange", "symbol", "ts", "seq", "bids", "asks"), fc)
+    parts = {n: [p for p in cfg.channels[n.split("_")[0]].partition_cols if p in d.columns] for n, d in outputs.items()}
+    sinks.write_outputs(outputs, out, parts)
+    return stats
+
+
+def drain(spark: SparkSession, source: str, cfg: Config, start: str | None = None, end: str | None = None) -> dict[str, int]:
+    """Process the ready segments of a source, claimed by a move; after success they are deleted or kept in processing.
+
+    A failure leaves them in processing, from where ``retry`` takes them back: nothing is deleted that was not written.
+    """
+    at = cfg.layout(source)
+    ready = segments.segments(spark, at["ready"], start, end)
+    mine = []
+    for p in ready:
+        to = f"{at['processing']}/{p.rsplit('/', 1)[-1]}"
+        fs.rename(spark, p, to)
+        mine.append(to)
+    if not mine:
+        return {"messages": 0, "rejected": 0}
+    stats = process_segments(spark, mine, at["processed"], cfg)
+    if cfg.delete_after_processing:
+        for p in mine:
+            fs.delete(spark, p)
+    return stats
+
+
+def retry(spark: SparkSession, source: str, cfg: Config) -> int:
+    """Segments of a failed run back to ready."""
+    at = cfg.layout(source)
+    left = segments.segments(spark, at["processing"])
+    for p in left:
+        fs.rename(spark, p, f"{at['ready']}/{p.rsplit('/', 1)[-1]}")
+    return len(left)
+
+
+def watch(spark: SparkSession, source: str, cfg: Config, checkpoint: str, once: bool = False):
+    """The job as a stream over the ready folder."""
+    at = cfg.layout(source)
+    lines = live.read_segments(spark, at["ready"], cfg.max_files_per_trigger, "delete" if cfg.delete_after_processing else None)
+    return live.start(live.messages(lines), live.channel_sink(at["processed"]), checkpoint, None if once else f"{cfg.poll_seconds} seconds")
