@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 MS_FROM = 1e11
 FIELDS = ("year", "month", "day", "hour", "minute", "second", "microsecond", "date", "datetime", "day_of_week", "is_weekend")
 #: Formats tried when the plain cast fails.
-ODD_FORMATS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "dd MMM yyyy HH:mm:ss", "dd MMM yyyy", "MMM d, yyyy HH:mm:ss", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd'T'HHmmss", "EEE, dd MMM yyyy HH:mm:ss")
+ODD_FORMATS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "dd MMM yyyy HH:mm:ss", "dd MMM yyyy", "MMM d, yyyy HH:mm:ss", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd'T'HHmmss")
 
 
 def epoch_ms(x: Column) -> Column:
