@@ -46,6 +46,7 @@ def _kway(root: str, runs: list[str], schema: pa.Schema, keep_tombstones: bool,
         from pyarrow import fs
 
         filesystem, base = fs.FileSystem.from_uri(root)
+        full = schema if "_k" in schema.names else schema.append(pa.field("_k", pa.string()))
         for batch in batches:
             for bucket in batch.column(0).to_pylist():
                 feeds = [source(filesystem, f"{base}/{r}/_b={bucket}") for r in runs]
@@ -54,7 +55,7 @@ def _kway(root: str, runs: list[str], schema: pa.Schema, keep_tombstones: bool,
                     for i, f in enumerate(feeds):
                         if f is not None and (heads[i] is None or not heads[i].num_rows):
                             b = next(f, None)
-                            heads[i], feeds[i] = (None, None) if b is None else (pa.Table.from_batches([b]), f)
+                            heads[i], feeds[i] = (None, None) if b is None else (pa.Table.from_batches([b]).select(full.names).cast(full), f)
                     live = [i for i, h in enumerate(heads) if h is not None and h.num_rows]
                     if not live:
                         break

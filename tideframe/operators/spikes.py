@@ -29,8 +29,10 @@ from tideframe.session import materialise, small
 NEIGHBOURS = 5
 SPIKE_FACTOR = 10.0
 STUCK_RUN = 12
-#: Values sorted in one task for one source; a bracket that holds more is narrowed by another sketch.
+#: Different values sorted in one task for one source; a bracket that holds more is narrowed by another sketch.
 BRACKET_ROWS = 200_000
+#: Quantiles read from a sketch to narrow a bracket.
+GRID = 64
 SKETCH_K = 1024
 
 _SRC = ["tbl", "exchange", "symbol"]
@@ -209,19 +211,21 @@ def exact_medians(values: DataFrame, by: list[str], value: str, hour: str, brack
         held = values.select(*by, value).join(small(br, br.count()), by)
         v, lo, hi = F.col(value), F.col("lo"), F.col("hi")
         counts = materialise(
-            held.groupBy(*by).agg(F.count("*").alias("n"), F.sum((v < lo).cast("long")).alias("below"), F.sum(((v >= lo) & (v <= hi)).cast("long")).alias("inside"), F.first("lo").alias("lo"), F.first("hi").alias("hi")),
+            held.groupBy(*by).agg(F.count("*").alias("n"), F.sum((v < lo).cast("long")).alias("below"), F.sum(((v >= lo) & (v <= hi)).cast("long")).alias("inside"), F.approx_count_distinct(F.when((v >= lo) & (v <= hi), v)).alias("many"), F.first("lo").alias("lo"), F.first("hi").alias("hi")),
             "bracket-counts",
         )
         low, high = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
         miss_low, miss_high = low <= F.col("below"), high > F.col("below") + F.col("inside")
-        wide = (F.col("inside") > bracket_rows) & (F.col("lo") < F.col("hi")) & ~miss_low & ~miss_high
+        wide = (F.col("many") > bracket_rows) & (F.col("lo") < F.col("hi")) & ~miss_low & ~miss_high
         worst = counts.agg(F.max((miss_low | miss_high).cast("int")), F.max(wide.cast("int"))).first()
         if not worst[0] and not worst[1]:
             break
         inner = held.join(counts.filter(wide).select(*by, "below", "inside", "n"), by).filter((v >= lo) & (v <= hi))
         at = (low - F.col("below")) / F.col("inside")
-        tight = inner.groupBy(*by).agg(F.kll_sketch_agg_double(value, F.lit(SKETCH_K)).alias("s"), F.first("below").alias("below"), F.first("inside").alias("inside"), F.first("n").alias("n"))
-        tight = tight.select(*by, F.kll_sketch_get_quantile_double("s", F.greatest(at - 0.01, F.lit(0.0))).alias("lo2"), F.kll_sketch_get_quantile_double("s", F.least(at + 0.01, F.lit(1.0))).alias("hi2"))
+        grid = F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(value, F.lit(SKETCH_K)), F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]))
+        tight = inner.groupBy(*by).agg(grid.alias("g"), F.first("below").alias("below"), F.first("inside").alias("inside"), F.first("n").alias("n"))
+        slot = lambda e: F.get("g", F.least(F.greatest(e, F.lit(0)), F.lit(GRID)).cast("int"))
+        tight = tight.select(*by, slot(F.floor(at * GRID) - 1).alias("lo2"), slot(F.floor(at * GRID) + 2).alias("hi2"))
         inf = F.lit(math.inf)
         br = counts.join(tight, by, "left").select(*by, F.when(miss_low, -inf).otherwise(F.coalesce("lo2", "lo")).alias("lo"), F.when(miss_high, inf).otherwise(F.coalesce("hi2", "hi")).alias("hi"))
     from pyspark.sql import Window as W

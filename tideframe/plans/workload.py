@@ -218,7 +218,7 @@ def _messages(spark: SparkSession, d: str) -> DataFrame:
 
 def d_ticker(spark: SparkSession, d: str) -> DataFrame:
     ok, _ = segments.parse_json(_messages(spark, d), parse.ENVELOPE)
-    return enrich.quote_spread(parse.ticker(ok, ["rec_no"])).select("rec_no", "exchange", "symbol", "date", "timestamp", "bid", "ask", "bidVolume", "baseVolume", F.round("spread", 6).alias("spread"), F.round("spread_pct", 6).alias("spread_pct"))
+    return enrich.quote_spread(parse.ticker(ok, ["rec_no"])).select("rec_no", "exchange", "symbol", "date", "timestamp", "bid", "ask", "bidVolume", "baseVolume", F.round("spread", 8).alias("spread"), F.round("spread_pct", 4).alias("spread_pct"))
 
 
 def d_trades(spark: SparkSession, d: str) -> DataFrame:

@@ -154,7 +154,7 @@ def oracle_sql() -> dict[str, str]:
     q["e_iso_times"] = "select distinct exchange, sequence_num, event_time, epoch_ms(cast(event_time as timestamptz)) event_ms from orderbook where event_time is not null"
     # Parsing.
     q["d_ticker"] = """select rec_no, exchange, symbol, strftime(make_timestamp("timestamp" * 1000), '%Y-%m-%d') date, "timestamp", bid, ask, coalesce("bidVolume", bid_volume) "bidVolume", base_volume "baseVolume",
- round(ask - bid, 6) spread, round(case when bid > 0 then (ask - bid) / bid * 100 end, 6) spread_pct from ticker"""
+ round(ask - bid, 8) spread, round(case when bid > 0 then (ask - bid) / bid * 100 end, 4) spread_pct from ticker"""
     q["d_trades"] = """select rec_no, exchange, symbol, strftime(make_timestamp(coalesce("timestamp", collected_at) * 1000), '%Y-%m-%d') date, trade_id, coalesce("timestamp", collected_at) "timestamp", side, price, amount, cost, taker_or_maker "takerOrMaker" from trades"""
     q["d_stats"] = "select 'ticker' as type, count(*) n from ticker union all select 'trades', count(*) from trades union all select 'rejected', count(*) from trades where rec_no % 100 = 0"
     q["d_orderbook"] = f"select seq, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') date, cast(least(len(bids), 5) as integer) levels, bb best_bid, sa ask_size from {_BOOKS}"
