@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideframe.config import FeatureConfig
@@ -175,17 +174,14 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
     else:
         out["spread_percentile"] = F.lit(None).cast("double")
         out["spread_regime"] = F.when(rel <= cfg.tight_spread_threshold, "tight").otherwise(F.lit("wide"))
-    f = f.withColumns(out)
-    o = W.partitionBy(*r.keys).orderBy("ts", "seq")
-    f = f.withColumns({"_dt": (F.col("ts") - F.lag("ts").over(o)).cast("double"), "_pr": F.lag("spread_regime").over(o)})
-    frame = r.frame(cfg.spread_regime_window)
-    whole = F.coalesce(F.sum("_dt").over(frame), F.lit(0.0))
-    f = f.withColumns({f"spread_regime_{g}_frac": F.when(whole > 0, F.coalesce(F.sum(F.when(F.col("_pr") == g, F.col("_dt"))).over(frame), F.lit(0.0)) / whole).otherwise(F.lit(0.0)) for g in ("tight", "wide")})
+    drop = [*[c for c in sums if c[0] == "_"], *[f"_c_{c}" for c in centred], "_depth"]
+    f = rolling.since_last(split.own(f.withColumns(out).drop(*drop)), by, "ts", "seq", "spread_regime")
+    f = rolling.prepare(f, by, "ts", "seq", cfg.spread_regime_window)
+    f = split.own(f.withColumns(rolling.time_shares(r, cfg.spread_regime_window, "spread_regime", ("tight", "wide"))).drop("_dt", "_pr"))
     t = F.timestamp_millis("ts")
     f = f.withColumns({
         "hour_of_day": F.hour(t), "day_of_week": F.weekday(t), "is_weekend": (F.weekday(t) >= 5).cast("int"), "minute_of_hour": F.minute(t), "date": F.date_format(t, "yyyy-MM-dd"), "mlofi_step": ml, "timestamp": F.col("ts"),
     })
-    f = split.own(f).drop("_depth", "_dt", "_pr", "_ranks", *[c for c in sums if c[0] == "_"], *[f"_c_{c}" for c in centred])
     if trades is not None:
         tf = trade_flow(trades, cfg.horizons, by)
         vals = [c for c in tf.columns if c not in (*by, "ts", "seq")]

@@ -131,18 +131,23 @@ def percentile_rank(df: DataFrame, by: list[str], ts: str, seq: str, x: str, h:
 
 def regime_fractions(df: DataFrame, by: list[str], ts: str, seq: str, regime: str, h: float, regimes: tuple[str, ...], rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
     """Adds the share of the last h seconds spent in each regime; the time up to a row is charged to the regime before it."""
-    r = Rolling(by, ts, seq)
-    d = split.split_hot(df, by, ts, horizon=int(h * 1000), last_rows=1, order=[seq], rows_per_chunk=rows_per_chunk)
-    if rows_per_chunk != split.ROWS_PER_CHUNK:
-        d = d.distinct()  # a halo row may be there for either reason
-    o = W.partitionBy(*r.keys).orderBy(ts, seq)
-    d = d.withColumns({"_dt": (F.col(ts) - F.lag(ts).over(o)).cast("double"), "_pr": F.lag(regime).over(o)})
+    d = since_last(df, by, ts, seq, regime, rows_per_chunk)
+    d = prepare(d, by, ts, seq, h, rows_per_chunk)
+    return split.own(d.withColumns(time_shares(Rolling(by, ts, seq), h, regime, regimes)).drop("_dt", "_pr"))
+
+
+def since_last(df: DataFrame, by: list[str], ts: str, seq: str, regime: str, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
+    """Adds ``_dt``, the time since the row before, and ``_pr``, that row's regime."""
+    d = split.split_hot(df, by, ts, last_rows=1, order=[seq], rows_per_chunk=rows_per_chunk)
+    o = W.partitionBy(*by, split.CHUNK).orderBy(ts, seq)
+    return split.own(d.withColumns({"_dt": (F.col(ts) - F.lag(ts).over(o)).cast("double"), "_pr": F.lag(regime).over(o)}))
+
+
+def time_shares(r: Rolling, h: float, regime: str, regimes: tuple[str, ...]) -> dict[str, Column]:
+    """Share of each regime in the time of the window; peers of a row add no time, so the plain frame does."""
     whole = F.coalesce(F.sum("_dt").over(r.frame(h)), F.lit(0.0))
-    cols = {}
-    for k in regimes:
-        part = F.coalesce(F.sum(F.when(F.col("_pr") == k, F.col("_dt"))).over(r.frame(h)), F.lit(0.0))
-        cols[f"{regime}_{k}_frac"] = F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
-    return split.own(d.withColumns(cols).drop("_dt", "_pr"))
+    part = lambda k: F.coalesce(F.sum(F.when(F.col("_pr") == k, F.col("_dt"))).over(r.frame(h)), F.lit(0.0))
+    return {f"{regime}_{k}_frac": F.when(whole > 0, part(k) / whole).otherwise(F.lit(0.0)) for k in regimes}
 
 
 def kyle_lambda(df: DataFrame, by: list[str], ts: str, seq: str, ret: str, flow: str, h: float, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:

@@ -35,29 +35,30 @@ def split_hot(df: DataFrame, by: list[str], ts: str, horizon: int = 0, last_rows
     hot = counts.collect() if counts.limit(1).count() else []  # at most (rows / rows_per_chunk) keys
     if not hot:
         return whole
-    keys = df.sparkSession.createDataFrame(hot, counts.schema)
-    side = small(keys, len(hot))
-    same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in by]
-    cold = df.join(side, same(df, side), "left_anti").withColumns({CHUNK: F.lit(0).cast("long"), HALO: F.lit(False)})
-    rows = df.join(side, same(df, side), "left_semi").withColumn("_bk", F.coalesce(_floor(F.col(ts), bucket), F.lit(-(2**62))))
+    # Sides are renamed, so that frames of one source can meet; null keys are keys like any other.
+    ren = lambda t, *rest: t.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], *rest)
+    on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
+    side = small(ren(df.sparkSession.createDataFrame(hot, counts.schema)), len(hot))
+    cold = df.join(side, on, "left_anti").withColumns({CHUNK: F.lit(0).cast("long"), HALO: F.lit(False)})
+    rows = df.join(side, on, "left_semi").withColumn("_bk", F.coalesce(_floor(F.col(ts), bucket), F.lit(-(2**62))))
     hist = rows.groupBy(*by, "_bk").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy(*by).orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    hist = hist.select(*by, "_bk", F.floor(before / rows_per_chunk).cast("long").alias(CHUNK))
-    rows = rows.join(hist, [*[rows[c].eqNullSafe(hist[c]) for c in by], rows["_bk"] == hist["_bk"]]).select(*[rows[c] for c in df.columns], rows["_bk"], hist[CHUNK])
+    hist = ren(hist.withColumn(CHUNK, F.floor(before / rows_per_chunk).cast("long")), F.col("_bk").alias("_hb"), CHUNK)
+    rows = rows.join(hist, [*on, F.col("_bk") == F.col("_hb")]).select(*df.columns, "_bk", CHUNK)
     parts = [cold, rows.withColumn(HALO, F.lit(False)).drop("_bk")]
+    keyed = [f"_k{i}" for i in range(len(by))]
     if horizon > 0:
-        starts = hist.groupBy(*by, CHUNK).agg(F.min("_bk").alias("_b0")).withColumn("_start", F.col("_b0") * bucket)
-        need = starts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col(CHUNK).alias("_for"), "_start", F.explode(F.sequence(_floor(F.col("_start") - horizon, bucket), F.col("_b0"))).alias("_nb"))
-        cond = [rows[c].eqNullSafe(need[f"_k{i}"]) for i, c in enumerate(by)] + [rows["_bk"] == need["_nb"], rows[ts] > need["_start"] - horizon, rows[CHUNK] < need["_for"]]
-        parts.append(rows.join(need, cond).select(*df.columns, F.col("_for").alias(CHUNK), F.lit(True).alias(HALO)))
+        starts = hist.groupBy(*keyed, F.col(CHUNK).alias("_for")).agg(F.min("_hb").alias("_b0")).withColumn("_start", F.col("_b0") * bucket)
+        need = starts.select(*keyed, "_for", "_start", F.explode(F.sequence(_floor(F.col("_start") - horizon, bucket), F.col("_b0"))).alias("_nb"))
+        cond = [*on, F.col("_bk") == F.col("_nb"), F.col(ts) > F.col("_start") - horizon, F.col(CHUNK) < F.col("_for")]
+        parts.append(rows.join(need.filter("_for > 0"), cond).select(*df.columns, F.col("_for").alias(CHUNK), F.lit(True).alias(HALO)))
     if last_rows > 0:
         o = [F.col(ts), *[F.col(c) for c in order or []]]
         tail = rows.withColumn("_r", F.row_number().over(W.partitionBy(*by, CHUNK).orderBy(*[c.desc() for c in o]))).filter(F.col("_r") <= last_rows).drop("_r", "_bk")
         tail = tail.withColumn("_i", F.row_number().over(W.partitionBy(*by).orderBy(CHUNK, *o)))
-        first = tail.groupBy(*by, CHUNK).agg(F.min("_i").alias("_i0"))
-        need = first.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col(CHUNK).alias("_for"), F.explode(F.sequence(F.col("_i0") - last_rows, F.col("_i0") - 1)).alias("_want"))
-        cond = [tail[c].eqNullSafe(need[f"_k{i}"]) for i, c in enumerate(by)] + [tail["_i"] == need["_want"]]
-        parts.append(tail.join(need, cond).select(*df.columns, F.col("_for").alias(CHUNK), F.lit(True).alias(HALO)))
+        first = ren(tail.groupBy(*by, CHUNK).agg(F.min("_i").alias("_i0")), F.col(CHUNK).alias("_for"), "_i0")
+        need = first.select(*keyed, "_for", F.explode(F.sequence(F.col("_i0") - last_rows, F.col("_i0") - 1)).alias("_want"))
+        parts.append(tail.join(need, [*on, F.col("_i") == F.col("_want")]).select(*df.columns, F.col("_for").alias(CHUNK), F.lit(True).alias(HALO)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -329,7 +329,7 @@ def h_velocity(spark: SparkSession, d: str) -> DataFrame:
 
 def i_running(spark: SparkSession, d: str) -> DataFrame:
     t = rolling.welford(ticks(spark, d), KEY, "ts", "seq", "amount")
-    return _rounded(t, ["seq", "amount_n"], ["amount_mean", "amount_var"], 5)
+    return _rounded(t, ["seq", "amount_n"], ["amount_mean", "amount_var"], 9)
 
 
 def i_rolling_sum(spark: SparkSession, d: str) -> DataFrame:

@@ -96,7 +96,7 @@ ROUNDED = {
     "g_research": (6, "spread_bps bid_volume_10 volume_imbalance_5 weighted_oi_5 notional_pressure_10 bid_level_spacing_mean ask_depth_10bps bid_slope volume_ratio_3 effective_spread kyle_lambda_bid amihud_illiquidity bid_concentration"),
     "h_flow_l1": (8, "log_return_step ofi_step micro_minus_mid"),
     "h_flow_levels": (6, "ofi_multi mlofi_decay"),
-    "i_running": (5, "amount_mean amount_var"),
+    "i_running": (9, "amount_mean amount_var"),
     "i_rolling_sum": (6, "w_sum w_mean"),
     "i_rolling_std": (6, "w_mean w_var w_std"),
     "i_percentile": (6, "w_rank w_p20 w_p80"),
