@@ -42,19 +42,15 @@ def _json_type(v: Column) -> Column:
 
 def comparable(text: Column) -> Column:
     """The form in which two values of one measure are equal: numbers and times as a double, else the text."""
-    number = F.coalesce(F.expr("try_cast(_x as double)"), F.when(F.col("_x").rlike(r"^\d{4}-\d\d-\d\d[T ]"), F.expr("cast(unix_millis(try_cast(_x as timestamp)) as double)")))
-    return F.coalesce(number.cast("string"), F.col("_x"))
-
-
-def _with_comparable(df: DataFrame, text: str, out: str) -> DataFrame:
-    return df.withColumn("_x", F.col(text)).withColumn(out, comparable(F.col("_x"))).drop("_x")
+    number = F.coalesce(text.try_cast("double"), F.when(text.rlike(r"^\d{4}-\d\d-\d\d[T ]"), F.unix_millis(text.try_cast("timestamp")).cast("double")))
+    return F.coalesce(number.cast("string"), text)
 
 
 def fields(raw: DataFrame, keys: list[str], text: str = "raw") -> DataFrame:
     """One row for each value of a parsed line: keys, line, name, type, value (text) and payload (map of texts)."""
     p = parse(raw.select(*keys, text), text).filter("_v is not null").select(*keys, "_v", F.monotonically_increasing_id().alias("line"))
     info = F.try_variant_get("_v", F.lit(f"$.{PAYLOAD}"), "string")
-    p = p.withColumn("payload", F.from_json(info, _TEXT_MAP))
+    p = p.withColumn("payload", F.transform_values(F.from_json(info, _TEXT_MAP), lambda k, v: comparable(v)))
     out = p.select("*", F.from_json(F.to_json("_v"), T.MapType(T.StringType(), T.VariantType())).alias("_m"))
     out = out.select(*keys, "line", "payload", F.explode("_m").alias("name", "_f"))
     return out.select(*keys, "line", "payload", "name", _json_type(F.col("_f")).alias("type"), F.try_variant_get("_f", F.lit("$"), "string").alias("value")).filter("type is not null")
@@ -66,9 +62,10 @@ def profile(raw: DataFrame, keys: list[str], text: str = "raw") -> DataFrame:
     by = [*keys, "name"]
     types = f.groupBy(*by, "type").agg(F.count("*").alias("n"))
     types = types.groupBy(*by).agg(F.max_by("type", F.struct("n", F.col("type"))).alias("type"))
-    pairs = f.filter(F.col("name") != PAYLOAD).select(*by, "value", F.explode("payload").alias("key", "theirs")).filter("theirs is not null")
-    pairs = _with_comparable(_with_comparable(pairs, "value", "a"), "theirs", "b")
-    hits = pairs.groupBy(*by, "key").agg(F.count(F.when(F.col("a") == F.col("b"), 1)).alias("hits")).filter("hits > 0")
+    # Each value is brought into its comparable form once; only the payload keys that agree with a field become rows.
+    own = f.filter(F.col("name") != PAYLOAD).select(*by, comparable(F.col("value")).alias("a"), "payload")
+    agree = F.map_keys(F.map_filter("payload", lambda k, v: v == F.col("a")))
+    hits = own.select(*by, F.explode(agree).alias("key")).groupBy(*by, "key").agg(F.count("*").alias("hits"))
     measure = hits.groupBy(*by).agg(F.min_by("key", F.struct(-F.col("hits"), F.col("key"))).alias("measure"))
     return types.join(measure, by, "left")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideframe.functions import normal
 from tideframe.operators import changefeed, drift, latebars, redelivery, smallfiles, spikes
-from tideframe.session import scratch
+from tideframe.session import scratch, spread
 
 TRADE_KEY = {"exchange": normal.exchange, "trade_id": F.col, "timestamp": F.col}
 
@@ -111,7 +111,7 @@ TICKER_NAMES_LATER = {"bidQty": "bid_volume", "askQty": "ask_volume", "close": "
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return drift.changes(spark.read.parquet(f"{d}/ticker_raw.parquet"))
+    return drift.changes(spread(spark.read.parquet(f"{d}/ticker_raw.parquet").select("exchange", "file_seq", "raw")))
 
 
 def p5_table(spark: SparkSession, d: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tideframe.config import FeatureConfig
 from tideframe.functions import fs, normal, timefn
 from tideframe.operators import asof, bars, book, dml, enrich, features, flow, layout, parse, rolling
-from tideframe.session import scratch
+from tideframe.session import scratch, spread
 from tideframe.sources import segments, sinks, sync
 
 KEY = ["exchange", "symbol"]
@@ -213,7 +213,7 @@ def _messages(spark: SparkSession, d: str) -> DataFrame:
     body = F.when(F.col("rec_no") % 7 == 0, F.to_json(one)).otherwise(F.to_json(F.array(one)))
     m2 = t.select(F.to_json(F.struct(F.lit("trades").alias("type"), "exchange", "symbol", F.lit("watchTrades").alias("method"), body.alias("data"), "collected_at")).alias("value"), "rec_no")
     broken = t.select(F.lit('{"type": "trades", "exch').alias("value"), "rec_no").filter("rec_no % 100 = 0")
-    return m1.unionByName(m2).unionByName(broken)
+    return spread(m1.unionByName(m2).unionByName(broken))
 
 
 def d_ticker(spark: SparkSession, d: str) -> DataFrame:

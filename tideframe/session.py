@@ -63,3 +63,13 @@ def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 def small(df: DataFrame, rows: int, row_bytes: int = ROW_BYTES, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``df`` marked for broadcast if its counted rows prove it small, else left to a shuffled join."""
     return F.broadcast(df) if rows * row_bytes <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where a scan has fewer parts than there are cores, as with one small file; else unchanged.
+
+    For work that is heavy on each row and would otherwise stay in the scan's few tasks. A table of any size has
+    more parts than that and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
