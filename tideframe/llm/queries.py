@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tideframe.functions import normal
 from tideframe.llm import leak, nearest, packing, pii
+from tideframe.session import spread
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -17,7 +18,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(packing.read_documents(spark, d))
+    return packing.pack(spread(packing.read_documents(spark, d)))
 
 
 def p8_sequences(spark: SparkSession, d: str) -> DataFrame:
@@ -26,7 +27,7 @@ def p8_sequences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leak.leaks(packing.read_documents(spark, d), spark.read.parquet(f"{d}/eval_items.parquet"))
+    return leak.leaks(spread(packing.read_documents(spark, d)), spark.read.parquet(f"{d}/eval_items.parquet"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,11 +44,11 @@ def _tagger(spark: SparkSession, d: str) -> pii.Model:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return pii.find(packing.read_documents(spark, d), _tagger(spark, d)).select("doc_id", "pii_type", "start_pos").distinct()
+    return pii.find(spread(packing.read_documents(spark, d)), _tagger(spark, d)).select("doc_id", "pii_type", "start_pos").distinct()
 
 
 def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return pii.redact(packing.read_documents(spark, d), _tagger(spark, d))
+    return pii.redact(spread(packing.read_documents(spark, d)), _tagger(spark, d))
 
 
 def queries() -> dict:
