@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tideframe.functions import normal
+from tideframe.session import materialise
 
 #: Field that carries the venue's own payload.
 PAYLOAD = "info_json"
@@ -89,6 +90,7 @@ def changes(raw: DataFrame, exchange: str = "exchange", seq: str = "file_seq", t
         F.filter("before", lambda x: ~F.array_contains(names(F.col("fs")), x["name"])).alias("gone"),
         F.filter("fs", lambda x: ~F.array_contains(names(F.col("before")), x["name"])).alias("come"),
     )
+    both = materialise(both, "profiles")  # a row a file, asked several times below
     keys = ["exchange", "file_seq"]
     gone = both.select(*keys, F.explode("gone").alias("g")).select(*keys, F.col("g.name").alias("old_field"), F.col("g.type").alias("old_type"), F.col("g.measure").alias("measure"))
     come = both.select(*keys, F.explode("come").alias("c")).select(*keys, F.col("c.name").alias("new_field"), F.col("c.type").alias("new_type"), F.col("c.measure").alias("measure"))

@@ -205,15 +205,15 @@ def e_iso_times(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:
-    q = table(spark, d, "ticker")
+    q = spread(table(spark, d, "ticker"))
     data = F.struct("timestamp", "bid", "ask", F.coalesce("bidVolume", "bid_volume").alias("bidVolume"), F.coalesce("askVolume", "ask_volume").alias("askVolume"), "last", "open", "high", "low", F.col("base_volume").alias("baseVolume"))
     m1 = q.select(F.to_json(F.struct(F.lit("ticker").alias("type"), "exchange", "symbol", F.lit("watchTicker").alias("method"), F.to_json(data).alias("data"), "collected_at")).alias("value"), "rec_no")
-    t = table(spark, d, "trades")
+    t = spread(table(spark, d, "trades"))
     one = F.struct(F.col("trade_id").alias("id"), "timestamp", "side", "price", "amount", "cost", F.col("taker_or_maker").alias("takerOrMaker"), F.col("info_json").alias("info"))
     body = F.when(F.col("rec_no") % 7 == 0, F.to_json(one)).otherwise(F.to_json(F.array(one)))
     m2 = t.select(F.to_json(F.struct(F.lit("trades").alias("type"), "exchange", "symbol", F.lit("watchTrades").alias("method"), body.alias("data"), "collected_at")).alias("value"), "rec_no")
     broken = t.select(F.lit('{"type": "trades", "exch').alias("value"), "rec_no").filter("rec_no % 100 = 0")
-    return spread(m1.unionByName(m2).unionByName(broken))
+    return m1.unionByName(m2).unionByName(broken)
 
 
 def d_ticker(spark: SparkSession, d: str) -> DataFrame:
