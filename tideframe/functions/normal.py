@@ -26,3 +26,11 @@ def trade_side(c: str | Column) -> Column:
     """buy for BUY/B, sell for SELL/S, else the lower-case text."""
     s = F.upper(F.trim(c if isinstance(c, Column) else F.col(c)))
     return F.when(s.isin("BUY", "B"), "buy").when(s.isin("SELL", "S"), "sell").otherwise(F.lower(s))
+
+
+def once(c: Column) -> Column:
+    """``c``, evaluated once a row however often it is used: as a generator of one row it is not copied into its users.
+
+    Alone in a select beside plain columns. Without it, every field taken from a parsed struct parses the text again.
+    """
+    return F.explode(F.array(c))

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tideframe.functions import normal
+from tideframe.functions.normal import once
 from tideframe.session import materialise
 
 #: Field that carries the venue's own payload.
@@ -29,8 +30,8 @@ _TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
 def parse(raw: DataFrame, text: str = "raw") -> DataFrame:
     """Adds ``_v``, the line as a variant (null where it does not parse as an object)."""
-    v = F.try_parse_json(F.col(text))
-    return raw.withColumn("_v", F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
+    p = raw.select("*", once(F.try_parse_json(F.col(text))).alias("_v"))
+    return p.withColumn("_v", F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.col("_v")))
 
 
 def _json_type(v: Column) -> Column:
@@ -51,7 +52,7 @@ def fields(raw: DataFrame, keys: list[str], text: str = "raw") -> DataFrame:
     """One row for each value of a parsed line: keys, line, name, type, value (text) and payload (map of texts)."""
     p = parse(raw.select(*keys, text), text).filter("_v is not null").select(*keys, "_v", F.monotonically_increasing_id().alias("line"))
     info = F.try_variant_get("_v", F.lit(f"$.{PAYLOAD}"), "string")
-    p = p.withColumn("payload", F.transform_values(F.from_json(info, _TEXT_MAP), lambda k, v: comparable(v)))
+    p = p.select("*", once(F.transform_values(F.from_json(info, _TEXT_MAP), lambda k, v: comparable(v))).alias("payload"))
     out = p.select("*", F.from_json(F.to_json("_v"), T.MapType(T.StringType(), T.VariantType())).alias("_m"))
     out = out.select(*keys, "line", "payload", F.explode("_m").alias("name", "_f"))
     return out.select(*keys, "line", "payload", "name", _json_type(F.col("_f")).alias("type"), F.try_variant_get("_f", F.lit("$"), "string").alias("value")).filter("type is not null")
@@ -123,7 +124,7 @@ def ingest(raw: DataFrame, target: dict[str, str], approved: dict[str, str], kee
     a line has a column under several names the target's own name goes first, then the approved by spelling.
     """
     m = F.from_json(F.to_json("_v"), _TEXT_MAP)
-    df = parse(raw.select(*keep, text), text).select(*keep, F.col(text).alias("_line"), m.alias("_m"), F.col("_v").isNull().alias("_bad"))
+    df = parse(raw.select(*keep, text), text).select(*keep, F.col(text).alias("_line"), F.col("_v").isNull().alias("_bad"), once(m).alias("_m"))
     names = {c: [c, *sorted(a for a, t in approved.items() if t == c)] for c in target}
     get = lambda c, k: F.coalesce(*[_cast(F.try_element_at("_m", F.lit(n)), k) for n in names[c]])
     df = df.select("*", *[get(c, k).alias(f"_c_{c}") for c, k in target.items()])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideframe import schemas
+from tideframe.functions.normal import once
 from tideframe.schemas import doubles, strings
 
 ENVELOPE = schemas.of(**strings("type exchange symbol method data"), collected_at="long", capture_ts="string")
@@ -45,7 +46,7 @@ def _head(channel: str) -> list[Column]:
 
 
 def ticker(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
-    d = usable(messages).filter("type = 'ticker'").withColumn("_d", F.from_json("data", TICKER)).filter("_d is not null")
+    d = usable(messages).filter("type = 'ticker'").select("*", once(F.from_json("data", TICKER)).alias("_d")).filter("_d is not null")
     d = _times(d, "_d")
     return d.select(*keep, *_head("ticker"), F.col("_ts").alias("timestamp"), F.col("_dt").alias("datetime"), *[F.col(f"_d.{c}").alias(c) for c in TICKER_NUMBERS.split()], "collected_at")
 
@@ -54,8 +55,8 @@ def trades(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
     """One row for each trade of a list, or of a single object."""
     text = F.trim("data")
     listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
-    d = usable(messages).filter("type = 'trades'").withColumn("_all", F.from_json(listed, T.ArrayType(TRADE)))
-    d = _times(d.select("*", F.posexplode("_all").alias("_pos", "_d")).filter("_d is not null"), "_d")
+    d = usable(messages).filter("type = 'trades'").select("*", F.explode(F.from_json(listed, T.ArrayType(TRADE))).alias("_d"))
+    d = _times(d.filter("_d is not null"), "_d")
     t = lambda c: F.col(f"_d.{c}")
     return d.select(
         *keep, *_head("trades"), t("id").alias("trade_id"), F.col("_ts").alias("timestamp"), F.col("_dt").alias("datetime"), t("symbol").alias("symbol_ccxt"), t("order").alias("order_id"),
@@ -65,7 +66,7 @@ def trades(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 def orderbook(messages: DataFrame, keep: list[str] = (), depth: int | None = None) -> DataFrame:
     """One row for each book; missing sides are empty, ``depth`` keeps the best levels."""
-    d = usable(messages).filter("type = 'orderbook'").withColumn("_d", F.from_json("data", BOOK)).filter("_d is not null")
+    d = usable(messages).filter("type = 'orderbook'").select("*", once(F.from_json("data", BOOK)).alias("_d")).filter("_d is not null")
     d = _times(d, "_d")
     side = lambda c: F.coalesce(F.col(f"_d.{c}"), F.array().cast("array<array<double>>"))
     cut = (lambda c: F.slice(side(c), 1, depth)) if depth else side
@@ -138,13 +139,13 @@ def landing(messages: DataFrame) -> dict[str, DataFrame]:
     m = messages.withColumn("capture_ts", F.col("capture_ts").try_cast("timestamp"))
     head = ["collected_at", "capture_ts", "exchange", "symbol"]
     info = lambda c: F.get_json_object(c, "$.info")
-    k = m.filter("type = 'ticker'").select(*head, F.from_json("data", TICKER).alias("d"), info("data").alias("info_json"))
+    k = m.filter("type = 'ticker'").select(*head, once(F.from_json("data", TICKER)).alias("d"), info("data").alias("info_json"))
     names = {"bid_volume": "bidVolume", "ask_volume": "askVolume", "base_volume": "baseVolume", "quote_volume": "quoteVolume"}
     order = "bid ask bid_volume ask_volume last open high low close vwap base_volume quote_volume change percentage".split()
     text = F.trim("data")
     listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
     t = m.filter("type = 'trades'").select(*head, F.explode(F.from_json(listed, T.ArrayType(TRADE))).alias("d"))
-    b = m.filter("type = 'orderbook'").select(*head, F.from_json("data", BOOK).alias("d"))
+    b = m.filter("type = 'orderbook'").select(*head, once(F.from_json("data", BOOK)).alias("d"))
     level = lambda c: F.transform(f"d.{c}", lambda x: F.struct(F.get(x, F.lit(0)).alias("price"), F.get(x, F.lit(1)).alias("size"))).alias(c)
     return {
         "ticker": k.select(*head, *[F.col(f"d.{names.get(c, c)}").alias(c) for c in order], "d.timestamp", "info_json"),

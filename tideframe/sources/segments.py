@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideframe.functions import fs
+from tideframe.functions.normal import once
 
 #: Fixed value: how closed segments are named.
 SEGMENT = r"segment_(\d{8})T(\d{2})_(\d+)\.ndjson"
@@ -46,7 +47,7 @@ def parse_json(lines: DataFrame, schema: T.StructType, text: str = "value") -> t
     """The parsed lines, as the schema's columns beside the others, and the lines that do not parse as an object."""
     bad = "_bad"
     full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
-    j = lines.withColumn("_j", F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}))
+    j = lines.select("*", once(F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})).alias("_j"))
     ok = F.col("_j").isNotNull() & F.col(f"_j.{bad}").isNull() & F.trim(text).startswith("{")
     rest = [c for c in lines.columns if c != text]
     return j.filter(ok).select(*rest, *[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields]), j.filter(~F.coalesce(ok, F.lit(False))).select(*lines.columns)

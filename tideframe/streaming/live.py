@@ -21,6 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tideframe import schemas
 from tideframe.config import FeatureConfig
 from tideframe.functions import fs
+from tideframe.functions.normal import once
 from tideframe.operators import book, latebars, parse
 from tideframe.sources.sinks import write_dataset
 
@@ -37,7 +38,7 @@ def read_segments(spark: SparkSession, folder: str, max_files: int = 100, clean:
 
 def messages(lines: DataFrame) -> DataFrame:
     """Envelopes of the unified interface; lines that do not parse are dropped."""
-    m = lines.filter(F.trim("value") != "").withColumn("_m", F.from_json("value", parse.ENVELOPE)).filter("_m.type is not null")
+    m = lines.filter(F.trim("value") != "").select("*", once(F.from_json("value", parse.ENVELOPE)).alias("_m")).filter("_m.type is not null")
     return m.select("_m.*", *[c for c in lines.columns if c != "value"])
 
 
