@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 from tideframe.config import Config, FeatureConfig
 from tideframe.functions import fs
 from tideframe.operators import enrich, features, parse
-from tideframe.session import materialise
+from tideframe.session import materialise, small
 from tideframe.sources import segments, sinks
 from tideframe.streaming import live
 
 
 def with_arrival(messages: DataFrame) -> DataFrame:
-    """Adds ``seq``, the order of arrival within a key: by segment name, then line."""
-    w = W.partitionBy("exchange", "symbol").orderBy("_file", "_line")
-    return messages.withColumn("seq", F.row_number().over(w))
+    """Adds ``seq``, the order of arrival: the rank of the segment by name, then the line's number within it.
+
+    Lines are numbered within a segment, whose size is bounded; the names of the segments are as many as were listed.
+    """
+    spark = messages.sparkSession
+    names = sorted(r._file for r in messages.select("_file").distinct().collect())
+    rank = small(spark.createDataFrame(list(enumerate(names)) or [], "_rank long, _file string"), len(names))
+    line = F.row_number().over(W.partitionBy("_file").orderBy("_line"))
+    return messages.withColumn("_no", line).join(rank, "_file").withColumn("seq", F.col("_rank") * F.lit(1 << 33) + F.col("_no")).drop("_rank", "_no")
 
 
 def process_segments(spark: SparkSession, paths: list[str], out: str, cfg: Config = Config(), features_of_books: bool = True) -> dict[str, int]:

@@ -44,6 +44,22 @@ def asof_last(left: DataFrame, right: DataFrame, by: list[str], ts: str, values:
     return j.select(*cols, F.col(f"_got.{ts}").alias(prefix + ts), *[F.col(f"_got.{c}").alias(prefix + c) for c in values])
 
 
+def fill_forward(df: DataFrame, by: list[str], ts: str, seq: str, values: list[str], stretch: int = STRETCH) -> DataFrame:
+    """Nulls of the value columns replaced by the last value before them in their key, by (ts, seq).
+
+    Last values are found within stretches of time and carried across them, so no task holds a key's whole history.
+    """
+    d = df.withColumn("_st", F.expr(f"`{ts}` div {stretch}"))
+    order = F.struct(ts, seq)
+    ends = d.groupBy(*by, "_st").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_e_{c}") for c in values])
+    w = W.partitionBy(*by).orderBy("_st").rowsBetween(W.unboundedPreceding, -1)
+    carry = ends.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col("_st").alias("_ks"), *[F.last(f"_e_{c}", ignorenulls=True).over(w).alias(f"_c_{c}") for c in values])
+    inner = W.partitionBy(*by, "_st").orderBy(ts, seq).rowsBetween(W.unboundedPreceding, 0)
+    d = d.withColumns({c: F.last(c, ignorenulls=True).over(inner) for c in values})
+    on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)] + [F.col("_st").eqNullSafe(F.col("_ks"))]
+    return d.join(carry, on, "left").select(*[F.coalesce(c, f"_c_{c}").alias(c) if c in values else F.col(c) for c in df.columns])
+
+
 def _struct(df: DataFrame, ts: str, values: list[str]):
     from pyspark.sql import types as T
 

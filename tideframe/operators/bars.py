@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideframe.functions import normal
+from tideframe.operators import split
 
 
 def _mean_all(c: str) -> Column:
@@ -89,9 +90,10 @@ def volume_bars(df: DataFrame, by: list[str], threshold: float, ts: str = "ts",
         F.min(F.struct(ts, seq, price)).alias("_f"), last, F.max(price).alias("_h"), F.min(price).alias("_lo"), F.sum("_fill").alias("_v"), part("buy"), part("sell"),
         F.sum(F.col(price) * F.col("_fill")).alias("_pv"), F.count("*").alias("trade_count"),
     )
-    w = W.partitionBy(*by).orderBy("bucket")
+    b = split.split_hot(b, by, "bucket", last_rows=1, bucket=1024)
+    w = W.partitionBy(*by, split.CHUNK).orderBy("bucket")
     b = b.withColumns({"open": F.coalesce(F.lag(f"_l.{price}").over(w), F.col(f"_f.{price}")), "start_time": F.coalesce(F.lag(f"_l.{ts}").over(w), F.col(f"_f.{ts}"))})
-    b = b.filter(F.col("_v") >= round(threshold / UNIT))
+    b = split.own(b).filter(F.col("_v") >= round(threshold / UNIT))
     v = F.col("_v") * UNIT
     return b.select(
         *by, "bucket", "open", F.greatest("_h", "open").alias("high"), F.least("_lo", "open").alias("low"), F.col(f"_l.{price}").alias("close"), v.alias("volume"), "buy_volume", "sell_volume",
@@ -101,13 +103,13 @@ def volume_bars(df: DataFrame, by: list[str], threshold: float, ts: str = "ts",
 
 def tick_side(df: DataFrame, by: list[str], ts: str, seq: str, price: str, side: str | None) -> DataFrame:
     """Adds ``_buy``, the bought share of each trade: by its side, else 1 on a rise of price, 0 on a fall, 0.5 on neither."""
-    w = W.partitionBy(*by).orderBy(ts, seq)
-    before = F.lag(price).over(w)
+    d = split.split_hot(df, by, ts, last_rows=1, order=[seq])
+    before = F.lag(price).over(W.partitionBy(*by, split.CHUNK).orderBy(ts, seq))
     rule = F.when(F.col(price) > before, 1.0).when(F.col(price) < before, 0.0).otherwise(F.lit(0.5))
-    if side is None:
-        return df.withColumn("_buy", rule)
-    s = normal.trade_side(side)
-    return df.withColumn("_buy", F.when(s == "buy", 1.0).when(s == "sell", 0.0).otherwise(rule))
+    if side is not None:
+        s = normal.trade_side(side)
+        rule = F.when(s == "buy", 1.0).when(s == "sell", 0.0).otherwise(rule)
+    return split.own(d.withColumn("_buy", rule))
 
 
 def vpin(df: DataFrame, by: list[str], bucket_volume: float, window_buckets: int = 50, ts: str = "ts", seq: str = "seq", price: str = "price", volume: str = "volume", side: str | None = "side") -> DataFrame:
@@ -115,9 +117,10 @@ def vpin(df: DataFrame, by: list[str], bucket_volume: float, window_buckets: int
     d = volume_fills(tick_side(df, by, ts, seq, price, side), by, bucket_volume, ts, seq, volume)
     size = round(bucket_volume / UNIT)
     b = d.groupBy(*by, "bucket").agg(F.sum("_fill").alias("_v"), F.sum(F.col("_fill") * F.col("_buy")).alias("_b")).filter(F.col("_v") >= size)
-    w = W.partitionBy(*by).orderBy("bucket").rowsBetween(-(window_buckets - 1), 0)
-    gap = F.abs(2 * F.col("_b") - F.col("_v"))
-    return b.select(*by, "bucket", (F.col("_b") * UNIT).alias("buy_volume"), ((F.col("_v") - F.col("_b")) * UNIT).alias("sell_volume"), (F.sum(gap).over(w) / (F.count("*").over(w) * size)).alias("vpin"))
+    b = split.split_hot(b, by, "bucket", last_rows=window_buckets - 1, bucket=1024)
+    w = W.partitionBy(*by, split.CHUNK).orderBy("bucket").rowsBetween(-(window_buckets - 1), 0)
+    b = split.own(b.withColumn("vpin", F.sum(F.abs(2 * F.col("_b") - F.col("_v"))).over(w) / (F.count("*").over(w) * size)))
+    return b.select(*by, "bucket", (F.col("_b") * UNIT).alias("buy_volume"), ((F.col("_v") - F.col("_b")) * UNIT).alias("sell_volume"), "vpin")
 
 
 def window_ohlcv(df: DataFrame, by: list[str], seconds: int, ts: str = "ts", seq: str = "seq", price: str = "price", volume: str = "volume") -> DataFrame:

@@ -112,12 +112,10 @@ def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY)
         for k in ("buy", "sell"):
             cols[f"_{k}_{h}"] = r.add(F.col(f"_{k}"), h)
     d = d.withColumns(cols)
-    held = {}
-    for h in horizons:
-        for k in ("buy", "sell"):
-            held[f"{k}_{h}"] = F.coalesce(F.last(F.when(F.col(f"_{k}") > 0, F.col(f"_{k}_{h}")), ignorenulls=True).over(r.seen()), F.lit(0.0))
-    d = d.withColumns(held)
-    return split.own(d).select(*by, "ts", "seq", *held)
+    names = [f"{k}_{h}" for h in horizons for k in ("buy", "sell")]
+    d = split.own(d.withColumns({n: F.when(F.col(f"_{n.split('_')[0]}") > 0, F.col(f"_{n}")) for n in names})).select(*by, "ts", "seq", *names)
+    d = asof.fill_forward(d, by, "ts", "seq", names)
+    return d.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
 
 
 def book_rows(books: DataFrame, cfg: FeatureConfig, by: list[str] = BY) -> DataFrame:
@@ -161,10 +159,10 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
     mean = lambda c: F.when(F.col(f"_{c}_n") > 0, F.col(f"_c_{c}") + F.col(f"_{c}_s") / F.col(f"_{c}_n")).otherwise(F.lit(0.0))
     out["depth_0_5bps_sigma"] = std("_depth")
     # On a row without a value the state of the last row with one is held.
-    hold = lambda c, e: F.coalesce(F.last(F.when(F.col(c).isNotNull(), e), ignorenulls=True).over(r.seen()), F.lit(0.0))
-    w = f"{cfg.slope_window}s"
+    w, held = f"{cfg.slope_window}s", []
     for c, name in (("bid_slope_regression", "bid_slope"), ("ask_slope_regression", "ask_slope"), ("cog_vs_mid", "cog_momentum")):
-        out |= {f"{name}_mean_{w}": hold(c, mean(c)), f"{name}_std_{w}": hold(c, std(c))}
+        out |= {f"{name}_mean_{w}": F.when(F.col(c).isNotNull(), mean(c)), f"{name}_std_{w}": F.when(F.col(c).isNotNull(), std(c))}
+        held += [f"{name}_mean_{w}", f"{name}_std_{w}"]
     rel = F.col("relative_spread")
     if cfg.use_dynamic_spread_regime:
         size = F.size("_ranks")
@@ -175,7 +173,9 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
         out["spread_percentile"] = F.lit(None).cast("double")
         out["spread_regime"] = F.when(rel <= cfg.tight_spread_threshold, "tight").otherwise(F.lit("wide"))
     drop = [*[c for c in sums if c[0] == "_"], *[f"_c_{c}" for c in centred], "_depth"]
-    f = rolling.since_last(split.own(f.withColumns(out).drop(*drop)), by, "ts", "seq", "spread_regime")
+    f = asof.fill_forward(split.own(f.withColumns(out).drop(*drop)), by, "ts", "seq", held)
+    f = f.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in held})
+    f = rolling.since_last(f, by, "ts", "seq", "spread_regime")
     f = rolling.prepare(f, by, "ts", "seq", cfg.spread_regime_window)
     f = split.own(f.withColumns(rolling.time_shares(r, cfg.spread_regime_window, "spread_regime", ("tight", "wide"))).drop("_dt", "_pr"))
     t = F.timestamp_millis("ts")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideframe.operators import split
+from tideframe.operators import asof, split
 
 #: Variances below this are taken as none.
 FLOOR = 1e-10
@@ -92,11 +92,12 @@ def rolling_moments(df: DataFrame, by: list[str], ts: str, seq: str, x: str, h:
     d = prepare(df, by, ts, seq, h, rows_per_chunk).withColumn("_c", r.centre(x)).withColumn("_x", F.col(x) - F.col("_c"))
     d = _moments(d, r, "_x", h)
     d = d.withColumns({"_m": F.when(F.col("_x_n") > 0, F.col("_c") + F.col("_x_s") / F.col("_x_n")).otherwise(F.lit(0.0)), "_v": r.variance_of(F.col("_x_n"), F.col("_x_s"), F.col("_x_ss"))})
+    names = {f"{name}_mean": F.col("_m"), f"{name}_var": F.col("_v"), f"{name}_std": F.sqrt("_v")}
+    d = split.own(d.withColumns({n: F.when(F.col(x).isNotNull(), c) if hold else c for n, c in names.items()}).drop("_c", "_x", "_x_n", "_x_s", "_x_ss", "_m", "_v"))
     if hold:
-        last = lambda c: F.coalesce(F.last(F.when(F.col(x).isNotNull(), F.col(c)), ignorenulls=True).over(r.seen()), F.lit(0.0))
-        d = d.withColumns({"_m": last("_m"), "_v": last("_v")})
-    d = d.withColumns({f"{name}_mean": F.col("_m"), f"{name}_var": F.col("_v"), f"{name}_std": F.sqrt("_v")})
-    return split.own(d.drop("_c", "_x", "_x_n", "_x_s", "_x_ss", "_m", "_v"))
+        d = asof.fill_forward(d, by, ts, seq, list(names))
+        d = d.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
+    return d
 
 
 def _moments(d: DataFrame, r: Rolling, x: str, h: float) -> DataFrame:
@@ -104,14 +105,27 @@ def _moments(d: DataFrame, r: Rolling, x: str, h: float) -> DataFrame:
     return d.withColumns({f"{x}_n": r.count(c, h), f"{x}_s": r.add(c, h), f"{x}_ss": r.add(c * c, h)})
 
 
-def welford(df: DataFrame, by: list[str], ts: str, seq: str, x: str, out: str | None = None) -> DataFrame:
+def welford(df: DataFrame, by: list[str], ts: str, seq: str, x: str, out: str | None = None, stretch: int = asof.STRETCH) -> DataFrame:
     """Adds the unbounded running count, mean and sample variance (0 for fewer than two values).
 
-    The running state is a window over the key's whole history: its frame is kept incrementally, in one pass over sorted
-    rows that spill, and never collected.
+    Values are centred on the key's mean; their running sums are taken within stretches of time and carried across
+    them, so no task holds a key's whole history.
     """
-    w, name = W.partitionBy(*by).orderBy(ts, seq).rowsBetween(FIRST, 0), out or x
-    return df.withColumns({f"{name}_n": F.count(x).over(w), f"{name}_mean": F.coalesce(F.avg(x).over(w), F.lit(0.0)), f"{name}_var": F.coalesce(F.var_samp(x).over(w), F.lit(0.0))})
+    name = out or x
+    on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]
+    centre = df.groupBy(*by).agg(F.coalesce(F.avg(x), F.lit(0.0)).alias("_c")).select(*keys, "_c")
+    d = df.join(centre, on, "left").drop(*[f"_k{i}" for i in range(len(by))]).withColumn("_st", F.expr(f"`{ts}` div {stretch}"))
+    v = F.col(x) - F.col("_c")
+    d = d.withColumns({"_n": F.col(x).isNotNull().cast("long"), "_d": F.coalesce(v, F.lit(0.0)), "_dd": F.coalesce(v * v, F.lit(0.0))})
+    parts = ["_n", "_d", "_dd"]
+    w = W.partitionBy(*by).orderBy("_st").rowsBetween(FIRST, -1)
+    sums = d.groupBy(*by, "_st").agg(*[F.sum(c).alias(c) for c in parts])
+    sums = sums.select(*keys, F.col("_st").alias("_ks"), *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}0") for c in parts])
+    inner = W.partitionBy(*by, "_st").orderBy(ts, seq).rowsBetween(FIRST, 0)
+    d = d.withColumns({f"{c}1": F.sum(c).over(inner) for c in parts}).join(sums, [*on, F.col("_st").eqNullSafe(F.col("_ks"))], "left")
+    n, s, ss = (F.col(f"{c}0") + F.col(f"{c}1") for c in parts)
+    return d.select(*df.columns, n.cast("long").alias(f"{name}_n"), F.when(n > 0, F.col("_c") + s / n).otherwise(F.lit(0.0)).alias(f"{name}_mean"), Rolling.variance_of(n, s, ss).alias(f"{name}_var"))
 
 
 def percentile_rank(df: DataFrame, by: list[str], ts: str, seq: str, x: str, h: float, points: tuple[float, ...] = (), out: str | None = None, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:

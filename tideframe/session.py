@@ -48,7 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/tideframe/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/tideframe/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder; frames that read it can no longer be used."""
+    from tideframe.functions import fs
+
+    fs.delete(spark, f"{shared_dir(spark)}/tideframe/{spark.sparkContext.applicationId}")
 
 
 def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
