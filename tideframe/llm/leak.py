@@ -27,7 +27,7 @@ RUN = 12
 K1, B = 1.2, 0.75
 BLOCK = 16
 #: Items held in one index; more are asked in several passes over the documents.
-ITEMS_PER_INDEX = 20_000
+ITEMS_PER_INDEX = 2_000
 
 _BLANKED = re.compile(r"<[^>]*>|&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);")
 _DROPPED = re.compile("[​­]")
