@@ -174,9 +174,10 @@ def test_regimes_and_impact(spark, chunk):
         assert r.kyle_lambda == pytest.approx(lam, abs=1e-9)
 
 
-def test_running_variance_of_large_values(spark):
+@pytest.mark.parametrize("chunk", [split.ROWS_PER_CHUNK, 100])
+def test_running_variance_of_large_values(spark, chunk):
     rows = [("k", i, i, 1e6 + i * 1e-4, 0.0, "g") for i in range(1000)]
-    d = rolling.welford(spark.createDataFrame(rows, TICKS.rsplit(",", 1)[0]), ["k"], "ts", "seq", "x")
+    d = rolling.welford(spark.createDataFrame(rows, TICKS.rsplit(",", 1)[0]), ["k"], "ts", "seq", "x", stretch=90, rows_per_chunk=chunk)
     v = [r[3] - 1e6 for r in rows]
     m = sum(v) / 1000
     assert d.filter("seq = 999").first().x_var == pytest.approx(sum((x - m) ** 2 for x in v) / 999, rel=1e-5)
@@ -254,6 +255,17 @@ def test_asof(spark, strict):
             assert x.asof_v == (want[1] if want and x.ts - want[0] <= 5_000_000 else None)
 
 
+@pytest.mark.parametrize("hot", [None, []])
+def test_fill_forward(spark, hot):
+    r = random.Random(4)
+    rows = [(r.choice(["a", "b", None]), i * 1000, i, r.choice([None, None, float(i)])) for i in range(120)]
+    got = {x.seq: x.v for x in asof.fill_forward(spark.createDataFrame(rows, "k string, ts long, seq long, v double"), ["k"], "ts", "seq", ["v"], stretch=7000, hot=hot).collect()}
+    last = {}
+    for k, _, seq, v in rows:
+        last[k] = last.get(k) if v is None else v
+        assert got[seq] == last[k]
+
+
 def test_range_join(spark):
     pts = spark.createDataFrame([("a", i) for i in range(0, 100, 7)], "k string, t long")
     iv = spark.createDataFrame([("a", 10, 40, "x"), ("a", 40, 41, "y"), ("a", 60, 60, "z"), ("b", 0, 99, "w")], "k string, lo long, hi long, n string")

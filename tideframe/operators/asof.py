@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideframe.functions import normal
+from tideframe.session import materialise
 
 #: Stretches of time over which last values are found before they are carried on, in units of the time column.
 STRETCH = 3_600_000
@@ -44,11 +45,16 @@ def asof_last(left: DataFrame, right: DataFrame, by: list[str], ts: str, values:
     return j.select(*cols, F.col(f"_got.{ts}").alias(prefix + ts), *[F.col(f"_got.{c}").alias(prefix + c) for c in values])
 
 
-def fill_forward(df: DataFrame, by: list[str], ts: str, seq: str, values: list[str], stretch: int = STRETCH) -> DataFrame:
+def fill_forward(df: DataFrame, by: list[str], ts: str, seq: str, values: list[str], stretch: int = STRETCH, hot: list | None = None) -> DataFrame:
     """Nulls of the value columns replaced by the last value before them in their key, by (ts, seq).
 
-    Last values are found within stretches of time and carried across them, so no task holds a key's whole history.
+    Where there are hot keys (or it is not known), last values are found within stretches of time and carried across
+    them, so no task holds such a key's whole history; the rows are written once for that.
     """
+    if hot is not None and not hot:
+        w = W.partitionBy(*by).orderBy(ts, seq).rowsBetween(W.unboundedPreceding, 0)
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in values})
+    df = materialise(df, "unfilled")
     d = df.withColumn("_st", F.expr(f"`{ts}` div {stretch}"))
     order = F.struct(ts, seq)
     ends = d.groupBy(*by, "_st").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_e_{c}") for c in values])

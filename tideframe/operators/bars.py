@@ -65,7 +65,7 @@ def running_sum(df: DataFrame, by: list[str], order: list[str], value: str, out:
 UNIT = 1e-8
 
 
-def volume_fills(df: DataFrame, by: list[str], threshold: float, ts: str = "ts", seq: str = "seq", volume: str = "volume") -> DataFrame:
+def volume_fills(df: DataFrame, by: list[str], threshold: float, ts: str = "ts", seq: str = "seq", volume: str = "volume", hot: list | None = None) -> DataFrame:
     """Trades cut at the edges of volume buckets: one row for each trade and bucket it fills, with ``bucket`` and ``fill``.
 
     Volume is kept whole; trades without a positive volume fill nothing.
@@ -73,7 +73,7 @@ def volume_fills(df: DataFrame, by: list[str], threshold: float, ts: str = "ts",
     unit = F.round(F.col(volume) / UNIT).cast("long")
     size = round(threshold / UNIT)
     d = df.withColumn("_u", unit).filter("_u > 0")
-    d = running_sum(d, by, [ts, seq], "_u", "_cum", F.expr(f"{ts} div 3600000"))
+    d = running_sum(d, by, [ts, seq], "_u", "_cum", F.expr(f"{ts} div 3600000") if hot is None or hot else None)
     first, last = F.expr(f"(_cum - _u) div {size}"), F.expr(f"(_cum - 1) div {size}")
     d = d.withColumn("bucket", F.explode(F.sequence(first, last)))
     lo, hi = F.greatest(F.col("_cum") - F.col("_u"), F.col("bucket") * size), F.least(F.col("_cum"), (F.col("bucket") + 1) * size)
@@ -82,7 +82,8 @@ def volume_fills(df: DataFrame, by: list[str], threshold: float, ts: str = "ts",
 
 def volume_bars(df: DataFrame, by: list[str], threshold: float, ts: str = "ts", seq: str = "seq", price: str = "price", volume: str = "volume", side: str = "side") -> DataFrame:
     """Bars of ``threshold`` volume each; a bar opens at the price and time at which the one before was completed. The open last bar is left out."""
-    f = volume_fills(df, by, threshold, ts, seq, volume)
+    hot = split.hot_keys(df, by)
+    f = volume_fills(df, by, threshold, ts, seq, volume, hot)
     s = normal.trade_side(side)
     last = F.max(F.struct(ts, seq, price)).alias("_l")
     part = lambda k: (F.sum(F.when(s == k, F.col("_fill")).otherwise(F.lit(0))) * UNIT).alias(f"{k}_volume")
@@ -90,7 +91,7 @@ def volume_bars(df: DataFrame, by: list[str], threshold: float, ts: str = "ts",
         F.min(F.struct(ts, seq, price)).alias("_f"), last, F.max(price).alias("_h"), F.min(price).alias("_lo"), F.sum("_fill").alias("_v"), part("buy"), part("sell"),
         F.sum(F.col(price) * F.col("_fill")).alias("_pv"), F.count("*").alias("trade_count"),
     )
-    b = split.split_hot(b, by, "bucket", last_rows=1, bucket=1024)
+    b = split.split_hot(b, by, "bucket", last_rows=1, bucket=1024, hot=hot)
     w = W.partitionBy(*by, split.CHUNK).orderBy("bucket")
     b = b.withColumns({"open": F.coalesce(F.lag(f"_l.{price}").over(w), F.col(f"_f.{price}")), "start_time": F.coalesce(F.lag(f"_l.{ts}").over(w), F.col(f"_f.{ts}"))})
     b = split.own(b).filter(F.col("_v") >= round(threshold / UNIT))
@@ -101,9 +102,9 @@ def volume_bars(df: DataFrame, by: list[str], threshold: float, ts: str = "ts",
     )
 
 
-def tick_side(df: DataFrame, by: list[str], ts: str, seq: str, price: str, side: str | None) -> DataFrame:
+def tick_side(df: DataFrame, by: list[str], ts: str, seq: str, price: str, side: str | None, hot: list | None = None) -> DataFrame:
     """Adds ``_buy``, the bought share of each trade: by its side, else 1 on a rise of price, 0 on a fall, 0.5 on neither."""
-    d = split.split_hot(df, by, ts, last_rows=1, order=[seq])
+    d = split.split_hot(df, by, ts, last_rows=1, order=[seq], hot=hot)
     before = F.lag(price).over(W.partitionBy(*by, split.CHUNK).orderBy(ts, seq))
     rule = F.when(F.col(price) > before, 1.0).when(F.col(price) < before, 0.0).otherwise(F.lit(0.5))
     if side is not None:
@@ -114,10 +115,11 @@ def tick_side(df: DataFrame, by: list[str], ts: str, seq: str, price: str, side:
 
 def vpin(df: DataFrame, by: list[str], bucket_volume: float, window_buckets: int = 50, ts: str = "ts", seq: str = "seq", price: str = "price", volume: str = "volume", side: str | None = "side") -> DataFrame:
     """Each complete volume bucket with its bought and sold volume and VPIN, the mean imbalance of the last buckets."""
-    d = volume_fills(tick_side(df, by, ts, seq, price, side), by, bucket_volume, ts, seq, volume)
+    hot = split.hot_keys(df, by)
+    d = volume_fills(tick_side(df, by, ts, seq, price, side, hot), by, bucket_volume, ts, seq, volume, hot)
     size = round(bucket_volume / UNIT)
     b = d.groupBy(*by, "bucket").agg(F.sum("_fill").alias("_v"), F.sum(F.col("_fill") * F.col("_buy")).alias("_b")).filter(F.col("_v") >= size)
-    b = split.split_hot(b, by, "bucket", last_rows=window_buckets - 1, bucket=1024)
+    b = split.split_hot(b, by, "bucket", last_rows=window_buckets - 1, bucket=1024, hot=hot)
     w = W.partitionBy(*by, split.CHUNK).orderBy("bucket").rowsBetween(-(window_buckets - 1), 0)
     b = split.own(b.withColumn("vpin", F.sum(F.abs(2 * F.col("_b") - F.col("_v"))).over(w) / (F.count("*").over(w) * size)))
     return b.select(*by, "bucket", (F.col("_b") * UNIT).alias("buy_volume"), ((F.col("_v") - F.col("_b")) * UNIT).alias("sell_volume"), "vpin")

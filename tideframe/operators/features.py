@@ -106,7 +106,8 @@ def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY)
     t = t.select(*by, "ts", "seq", F.when(F.col("_s") == "buy", F.col("amount")).otherwise(F.lit(0.0)).alias("_buy"), F.when(F.col("_s") == "sell", F.col("amount")).otherwise(F.lit(0.0)).alias("_sell"))
     # A buy evicts only buys: each side's window ends at that side's last trade.
     r = rolling.Rolling(by, parts=[split.CHUNK])
-    d = rolling.prepare(t, by, "ts", "seq", max(horizons))
+    hot = split.hot_keys(t, by)
+    d = rolling.prepare(t, by, "ts", "seq", max(horizons), hot=hot)
     cols = {}
     for h in horizons:
         for k in ("buy", "sell"):
@@ -114,25 +115,26 @@ def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY)
     d = d.withColumns(cols)
     names = [f"{k}_{h}" for h in horizons for k in ("buy", "sell")]
     d = split.own(d.withColumns({n: F.when(F.col(f"_{n.split('_')[0]}") > 0, F.col(f"_{n}")) for n in names})).select(*by, "ts", "seq", *names)
-    d = asof.fill_forward(d, by, "ts", "seq", names)
+    d = asof.fill_forward(d, by, "ts", "seq", names, hot=hot)
     return d.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
 
 
-def book_rows(books: DataFrame, cfg: FeatureConfig, by: list[str] = BY) -> DataFrame:
+def book_rows(books: DataFrame, cfg: FeatureConfig, by: list[str] = BY, hot: list | None = None) -> DataFrame:
     """Snapshot features and flow of each book; needs ts, seq, bids, asks. One scan, one shuffle by key."""
     b = book.normalise(books.filter("ts is not null"))
     f = book.snapshot_features(b, cfg.max_levels, cfg.bands_bps, keep_raw_arrays=True, carry=[*by, "ts", "seq"])
     f = f.withColumns({"bid_size": F.get("bids", F.lit(0))["size"], "ask_size": F.get("asks", F.lit(0))["size"]})
-    f = flow.snapshot_flow(f, by, levels=min(cfg.ofi_levels, cfg.max_levels), alpha=cfg.ofi_decay_alpha)
+    f = flow.snapshot_flow(f, by, levels=min(cfg.ofi_levels, cfg.max_levels), alpha=cfg.ofi_decay_alpha, hot=hot)
     return f if cfg.keep_raw_arrays else f.drop("bids", "asks")
 
 
 def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig = FeatureConfig(), by: list[str] = BY, every_row: bool = False) -> DataFrame:
     """The feature row of each book that is emitted (all with ``every_row``)."""
-    f = book_rows(books, cfg, by)
+    hot = split.hot_keys(books, by)
+    f = book_rows(books, cfg, by, hot)
     r = rolling.Rolling(by)
     horizon = max(*cfg.horizons, cfg.depth_window, cfg.spread_regime_window, cfg.kyle_lambda_window, cfg.slope_window)
-    f = split.split_hot(f, by, "ts", horizon=int(horizon * 1000))
+    f = split.split_hot(f, by, "ts", horizon=int(horizon * 1000), hot=hot)
     have05 = "bid_vol_band_0_5bps" in f.columns
     f = f.withColumn("_depth", F.col("bid_vol_band_0_5bps") + F.col("ask_vol_band_0_5bps") if have05 else F.lit(0.0))
     sums, out = {}, {}
@@ -173,10 +175,10 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
         out["spread_percentile"] = F.lit(None).cast("double")
         out["spread_regime"] = F.when(rel <= cfg.tight_spread_threshold, "tight").otherwise(F.lit("wide"))
     drop = [*[c for c in sums if c[0] == "_"], *[f"_c_{c}" for c in centred], "_depth"]
-    f = asof.fill_forward(split.own(f.withColumns(out).drop(*drop)), by, "ts", "seq", held)
+    f = asof.fill_forward(split.own(f.withColumns(out).drop(*drop)), by, "ts", "seq", held, hot=hot)
     f = f.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in held})
-    f = rolling.since_last(f, by, "ts", "seq", "spread_regime")
-    f = rolling.prepare(f, by, "ts", "seq", cfg.spread_regime_window)
+    f = rolling.since_last(f, by, "ts", "seq", "spread_regime", hot=hot)
+    f = rolling.prepare(f, by, "ts", "seq", cfg.spread_regime_window, hot=hot)
     f = split.own(f.withColumns(rolling.time_shares(r, cfg.spread_regime_window, "spread_regime", ("tight", "wide"))).drop("_dt", "_pr"))
     t = F.timestamp_millis("ts")
     f = f.withColumns({
@@ -198,6 +200,6 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
 
 def feature_bars(books: DataFrame, cfg: FeatureConfig = FeatureConfig(), by: list[str] = BY, keep_open: bool = False) -> DataFrame:
     """Bars of the books at each duration."""
-    f = book_rows(books, cfg, by)
+    f = book_rows(books, cfg, by, split.hot_keys(books, by))
     rows = f.select(*by, "ts", "seq", F.col("mid_price").alias("mid"), "spread", F.col("relative_spread").alias("rel_spread"), F.col("ofi_step").alias("ofi"), F.col("imbalance_L1").alias("l1_imb"), F.col("log_return_step").alias("log_ret"), F.col("mlofi_decay").alias("mlofi"))
     return bars.time_bars(rows, by, cfg.bar_durations, keep_open=keep_open)

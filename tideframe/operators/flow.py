@@ -35,12 +35,12 @@ def _levels_flow(cur: str, prev: str, levels: int, rule, alpha: float | None) ->
     return F.aggregate(each, F.lit(0.0), lambda a, v: a + v)
 
 
-def snapshot_flow(df: DataFrame, by: list[str], ts: str = "ts", seq: str = "seq", levels: int = 10, alpha: float = 0.5, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
+def snapshot_flow(df: DataFrame, by: list[str], ts: str = "ts", seq: str = "seq", levels: int = 10, alpha: float = 0.5, rows_per_chunk: int = split.ROWS_PER_CHUNK, hot: list | None = None) -> DataFrame:
     """Adds log_return_step, ofi_step, ofi_multi, mlofi_decay, mid_velocity, mid_accel and micro_minus_mid.
 
     Needs best_bid, best_ask, bid_size, ask_size, mid_price, microprice, bids and asks.
     """
-    d = split.split_hot(df, by, ts, last_rows=2, order=[seq], rows_per_chunk=rows_per_chunk)
+    d = split.split_hot(df, by, ts, last_rows=2, order=[seq], rows_per_chunk=rows_per_chunk, hot=hot)
     w = W.partitionBy(*by, split.CHUNK).orderBy(ts, seq)
     lag = lambda c, k=1: F.lag(c, k).over(w)
     d = d.withColumns({

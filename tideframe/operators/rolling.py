@@ -72,9 +72,9 @@ class Rolling:
         return F.transform(F.filter(seen, lambda e: ((e["t"] < F.col(self.ts)) | (e["s"] <= F.col(self.seq))) & e["v"].isNotNull()), lambda e: e["v"])
 
 
-def prepare(df: DataFrame, by: list[str], ts: str, seq: str, horizon: float, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
+def prepare(df: DataFrame, by: list[str], ts: str, seq: str, horizon: float, rows_per_chunk: int = split.ROWS_PER_CHUNK, hot: list | None = None) -> DataFrame:
     """Chunks for windows of up to ``horizon`` seconds."""
-    return split.split_hot(df, by, ts, horizon=int(horizon * 1000), rows_per_chunk=rows_per_chunk)
+    return split.split_hot(df, by, ts, horizon=int(horizon * 1000), rows_per_chunk=rows_per_chunk, hot=hot)
 
 
 def rolling_sum(df: DataFrame, by: list[str], ts: str, seq: str, x: str, h: float, out: str | None = None, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
@@ -95,7 +95,7 @@ def rolling_moments(df: DataFrame, by: list[str], ts: str, seq: str, x: str, h:
     names = {f"{name}_mean": F.col("_m"), f"{name}_var": F.col("_v"), f"{name}_std": F.sqrt("_v")}
     d = split.own(d.withColumns({n: F.when(F.col(x).isNotNull(), c) if hold else c for n, c in names.items()}).drop("_c", "_x", "_x_n", "_x_s", "_x_ss", "_m", "_v"))
     if hold:
-        d = asof.fill_forward(d, by, ts, seq, list(names))
+        d = asof.fill_forward(d, by, ts, seq, list(names), hot=split.hot_keys(df, by, rows_per_chunk))
         d = d.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
     return d
 
@@ -105,13 +105,16 @@ def _moments(d: DataFrame, r: Rolling, x: str, h: float) -> DataFrame:
     return d.withColumns({f"{x}_n": r.count(c, h), f"{x}_s": r.add(c, h), f"{x}_ss": r.add(c * c, h)})
 
 
-def welford(df: DataFrame, by: list[str], ts: str, seq: str, x: str, out: str | None = None, stretch: int = asof.STRETCH) -> DataFrame:
+def welford(df: DataFrame, by: list[str], ts: str, seq: str, x: str, out: str | None = None, stretch: int = asof.STRETCH, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
     """Adds the unbounded running count, mean and sample variance (0 for fewer than two values).
 
-    Values are centred on the key's mean; their running sums are taken within stretches of time and carried across
-    them, so no task holds a key's whole history.
+    With hot keys, values are centred on the key's mean and their running sums taken within stretches of time and
+    carried across them, so no task holds a key's whole history.
     """
     name = out or x
+    if not split.hot_keys(df, by, rows_per_chunk):
+        w = W.partitionBy(*by).orderBy(ts, seq).rowsBetween(FIRST, 0)
+        return df.withColumns({f"{name}_n": F.count(x).over(w), f"{name}_mean": F.coalesce(F.avg(x).over(w), F.lit(0.0)), f"{name}_var": F.coalesce(F.var_samp(x).over(w), F.lit(0.0))})
     on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
     keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]
     centre = df.groupBy(*by).agg(F.coalesce(F.avg(x), F.lit(0.0)).alias("_c")).select(*keys, "_c")
@@ -145,14 +148,15 @@ def percentile_rank(df: DataFrame, by: list[str], ts: str, seq: str, x: str, h:
 
 def regime_fractions(df: DataFrame, by: list[str], ts: str, seq: str, regime: str, h: float, regimes: tuple[str, ...], rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
     """Adds the share of the last h seconds spent in each regime; the time up to a row is charged to the regime before it."""
-    d = since_last(df, by, ts, seq, regime, rows_per_chunk)
-    d = prepare(d, by, ts, seq, h, rows_per_chunk)
+    hot = split.hot_keys(df, by, rows_per_chunk)
+    d = since_last(df, by, ts, seq, regime, rows_per_chunk, hot)
+    d = prepare(d, by, ts, seq, h, rows_per_chunk, hot)
     return split.own(d.withColumns(time_shares(Rolling(by, ts, seq), h, regime, regimes)).drop("_dt", "_pr"))
 
 
-def since_last(df: DataFrame, by: list[str], ts: str, seq: str, regime: str, rows_per_chunk: int = split.ROWS_PER_CHUNK) -> DataFrame:
+def since_last(df: DataFrame, by: list[str], ts: str, seq: str, regime: str, rows_per_chunk: int = split.ROWS_PER_CHUNK, hot: list | None = None) -> DataFrame:
     """Adds ``_dt``, the time since the row before, and ``_pr``, that row's regime."""
-    d = split.split_hot(df, by, ts, last_rows=1, order=[seq], rows_per_chunk=rows_per_chunk)
+    d = split.split_hot(df, by, ts, last_rows=1, order=[seq], rows_per_chunk=rows_per_chunk, hot=hot)
     o = W.partitionBy(*by, split.CHUNK).orderBy(ts, seq)
     return split.own(d.withColumns({"_dt": (F.col(ts) - F.lag(ts).over(o)).cast("double"), "_pr": F.lag(regime).over(o)}))
 

@@ -24,21 +24,25 @@ def _floor(c: Column, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("long")
 
 
-def split_hot(df: DataFrame, by: list[str], ts: str, horizon: int = 0, last_rows: int = 0, order: list[str] | None = None, rows_per_chunk: int = ROWS_PER_CHUNK, bucket: int = BUCKET) -> DataFrame:
+def hot_keys(df: DataFrame, by: list[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> list:
+    """Keys of more rows than a chunk holds; of these there are at most rows / rows_per_chunk."""
+    return df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_chunk).drop("_n").collect()
+
+
+def split_hot(df: DataFrame, by: list[str], ts: str, horizon: int = 0, last_rows: int = 0, order: list[str] | None = None, rows_per_chunk: int = ROWS_PER_CHUNK, bucket: int = BUCKET, hot: list | None = None) -> DataFrame:
     """``df`` with ``_chunk`` and ``_halo``. ``ts`` is a long; rows without it go to the first chunk of their key.
 
-    ``horizon``: rows up to this much earlier than a chunk's start are its halo. ``last_rows``: so are
+    ``hot``: the result of ``hot_keys``, where it is already known. ``horizon``: rows up to this much earlier than a chunk's start are its halo. ``last_rows``: so are
     the last rows, by ``order`` after ``ts``, before it.
     """
     whole = df.withColumns({CHUNK: F.lit(0).cast("long"), HALO: F.lit(False)})
-    counts = df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_chunk).drop("_n")
-    hot = counts.collect() if counts.limit(1).count() else []  # at most (rows / rows_per_chunk) keys
+    hot = hot_keys(df, by, rows_per_chunk) if hot is None else hot
     if not hot:
         return whole
     # Sides are renamed, so that frames of one source can meet; null keys are keys like any other.
     ren = lambda t, *rest: t.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], *rest)
     on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
-    side = small(ren(df.sparkSession.createDataFrame(hot, counts.schema)), len(hot))
+    side = small(ren(df.sparkSession.createDataFrame([tuple(h) for h in hot], df.select(*by).schema)), len(hot))
     cold = df.join(side, on, "left_anti").withColumns({CHUNK: F.lit(0).cast("long"), HALO: F.lit(False)})
     rows = df.join(side, on, "left_semi").withColumn("_bk", F.coalesce(_floor(F.col(ts), bucket), F.lit(-(2**62))))
     hist = rows.groupBy(*by, "_bk").agg(F.count("*").alias("_n"))
