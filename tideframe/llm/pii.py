@@ -47,6 +47,8 @@ def _features(token: str, given: frozenset, surnames: frozenset) -> list[str]:
             out.append("w=" + w)
         return out
     low = w.lower()
+    if low[0] in "ðñ" or "\x80" <= low[0] <= "\x9f":  # letters of another script read in the wrong encoding
+        return ["misread"]
     if not w.isalpha():
         return ["w=" + w, space + w]
     case = "X" if len(w) == 1 and w.isupper() else "XX" if w.isupper() else "Xx" if w[0].isupper() else "x"

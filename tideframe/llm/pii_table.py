@@ -16,15 +16,18 @@ Contact: {email}.
 * {email}
 * {name}
 * {address}, {place}
+* {address}
 | contact = {email}
 | phone = {phone}
 | office = {address}, {place}
+| office = {address}
 | keeper = {name}
 | {name} || {id_number} || {phone}
 '''Note:''' send corrections to {email} or ring {phone}.
 lol {name} lives at {address} and everyone should write to {email}!!!
 lol {name} lives at {address}, {place} and everyone should write to {email}!!!
 {name} lives at {address}, {place} and everyone should write to {email}!!!
+lol {name} was here
 According to Dr. {name} the mill burned down, see [mailto:{email} here].
 :: I agree with the above. --{name} ({email}) 14:{n2}, 3 May 2019
 I asked Professor {name} about this. {name} ({email}), 9 June 2012
@@ -289,7 +292,8 @@ def labelled_rows(given: list[str], surnames: list[str], n: int, seed: int) -> l
         line: list[tuple[str, str]] = []
         for k, p in enumerate(parts):
             line += ([(" ", "")] if k else []) + p
-        if f.rng.random() < (0.4 if any("а" <= c <= "я" for t, _ in line for c in t) else 0.08):  # text read in the wrong encoding
+        cyrillic, plain = any("а" <= c <= "я" for t, _ in line for c in t), not any(label for _, label in line)
+        if f.rng.random() < (0.4 if cyrillic and plain else 0.0 if cyrillic else 0.08):  # text read in the wrong encoding
             line = [(t.encode().decode("latin-1"), label) for t, label in line]
         out.append(line)
     return out
