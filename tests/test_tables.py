@@ -334,3 +334,21 @@ def test_landing_sink(spark, tmp_path):
 def test_envelopes(spark):
     d = spark.createDataFrame([(1, bytearray(b"\x0aB"))], "a int, b binary").select(parse.envelope(F.struct("a"), source=F.lit("s")).alias("e"), parse.raw_envelope(F.col("b")).alias("r")).first()
     assert json.loads(d.e)["data"] == {"a": 1} and json.loads(d.e)["metadata"] == {"source": "s"} and json.loads(d.r)["raw_bytes"] == "0a42"
+
+
+def test_commands_and_schema_migration(spark, tmp_path):
+    from tideframe.__main__ import parser, run
+
+    cfg = Config(raw_dir=f"file://{tmp_path}/raw", processed_dir=f"file://{tmp_path}/out", delete_after_processing=False)
+    (tmp_path / "c.json").write_text(json.dumps(cfg.to_dict()))
+    write_segment(tmp_path / "raw/ready/s", "segment_20231114T22_00001.ndjson", books_and_trades(10))
+    go = lambda *a: run(parser().parse_args(["--config", str(tmp_path / "c.json"), *a]))
+    assert go("health", "s")["files"] == 1
+    assert go("etl", "s", "--start", "2023-11-14")["messages"] == 30
+    out = f"file://{tmp_path}/out/s"
+    assert go("compact", f"{out}/trades", "--dry-run")["folders"] == 1
+    assert go("validate", f"{out}/trades", "--columns", "exchange", "symbol", "date")["partition_columns"]
+    assert go("sync", f"{out}/trades", f"file://{tmp_path}/copy")["copied"] == 1
+    s = job.migrate_schema(spark, "s", cfg, ["trades"], f"file://{tmp_path}/old", cfg.layout("s")["processing"])
+    assert s["messages"] == 30 and spark.read.parquet(out + "/trades").count() == 10 and spark.read.parquet(f"file://{tmp_path}/old/trades").count() == 10
+    assert go("retry", "s")["segments"] == 1

@@ -89,3 +89,19 @@ def watch(spark: SparkSession, source: str, cfg: Config, checkpoint: str, once:
     at = cfg.layout(source)
     lines = live.read_segments(spark, at["ready"], cfg.max_files_per_trigger, "delete" if cfg.delete_after_processing else None)
     return live.start(live.messages(lines), live.channel_sink(at["processed"]), checkpoint, None if once else f"{cfg.poll_seconds} seconds")
+
+
+def migrate_schema(spark: SparkSession, source: str, cfg: Config, channels: list[str], archive: str | None = None, segments_from: str | None = None) -> dict[str, int]:
+    """Make channels' datasets anew after a change of schema: their old folders are archived (or deleted), then the segments kept in a folder are processed again."""
+    out = cfg.layout(source)["processed"]
+    names = [n for n in fs.subdirs(spark, out) if n.split("_")[0] in channels]
+    for n in names:
+        if archive:
+            fs.rename(spark, f"{out}/{n}", f"{archive.rstrip('/')}/{n}")
+        else:
+            fs.delete(spark, f"{out}/{n}")
+    if not segments_from:
+        return {"messages": 0, "rejected": 0}
+    only = Config.from_dict(cfg.to_dict())
+    only.channels = {c: o for c, o in cfg.channels.items() if c in channels}
+    return process_segments(spark, segments.segments(spark, segments_from), out, only)

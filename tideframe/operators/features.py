@@ -50,7 +50,7 @@ def downsample(df: DataFrame, by: list[str], ts: str, interval_ms: int, seq: str
     The entries are then known for all partitions from these short tables. Rows without a time are left out.
     """
     narrow = df.filter(F.col(ts).isNotNull()).select(*by, F.col(ts).alias("_t"), F.col(seq).cast("long").alias("_q"))
-    table = OrderedTable(narrow, [*by, "_t", "_q"], partitions)
+    table = OrderedTable(narrow, [*by, "_t", "_q"], partitions, 0 if partitions else narrow.count())
 
     def edge(t: pa.Table) -> dict:
         import numpy as np

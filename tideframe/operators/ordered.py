@@ -19,10 +19,16 @@ from pyspark.sql import types as T
 from tideframe.session import scratch
 
 
+#: Rows a partition holds at most, about, where their number is known.
+ROWS_PER_PARTITION = 500_000
+
+
 class OrderedTable:
-    def __init__(self, df: DataFrame, by: list[str], partitions: int | None = None):
+    """``rows`` is the number of rows of ``df`` if it is known: a task then holds a bounded number, whatever the session's setting."""
+
+    def __init__(self, df: DataFrame, by: list[str], partitions: int | None = None, rows: int = 0):
         self.spark = df.sparkSession
-        self.partitions = partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.partitions = partitions or max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PARTITION))
         self.path = scratch(self.spark, "ordered")
         (df.repartitionByRange(self.partitions, *by).sortWithinPartitions(*by).withColumn("_p", F.spark_partition_id())
          .write.partitionBy("_p").parquet(self.path))

@@ -192,7 +192,8 @@ def _judge(t: pa.Table, ctx: dict) -> pa.Table:
 
 def judged(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     """The ordered scan over all readings with a time, as a table in the shared folder."""
-    t = OrderedTable(rows.filter("ts is not null"), [*_SRC, "ts", "id"], partitions)
+    timed = rows.filter("ts is not null")
+    t = OrderedTable(timed, [*_SRC, "ts", "id"], partitions, timed.count())
     return materialise(t.scan(_judge, _SCAN, _contexts(t.edges(_edge))), "judged")
 
 
