@@ -24,6 +24,8 @@ def test_golden_book(spark):
     assert f.vwap_bid_5 == pytest.approx(sum(p * s for p, s in SIMPLE[4]) / 15)
     assert f.bid_concentration == pytest.approx(55 / 225) and f.bid_50pct_depth_levels == 3
     assert f.bid_slope_simple == pytest.approx(40 / 15)
+    r = book.research_features(d).first()
+    assert r.bid_size_level_0 == 1 and r.bid_price_level_4 == 49960 and r.ask_size_level_4 == 5.5 and r.ask_price_level_5 is None
     n = book.normalise(d)
     assert book.snapshot_features(n).first().mid_price == 50005
 

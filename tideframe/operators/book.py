@@ -188,6 +188,11 @@ def research_features(df: DataFrame) -> DataFrame:
     free = lambda s, k: truncate(F.col(s), k)
     out: dict[str, Column] = {"best_bid": bb, "best_ask": ba, "mid_price": mid, "spread": ba - bb, "spread_bps": ratio(ba - bb, mid) * 10000, "relative_spread": ratio(ba - bb, mid)}
     out |= {"bid_size_level_0": sb, "ask_size_level_0": sa, "ofi_level_0": imbalance(sb, sa)}
+    for i in range(10):  # levels both sides have
+        for c, s in (("bids", "bid"), ("asks", "ask")):
+            there = lambda f: F.when(n > i, one(c, i, f))
+            out[f"{s}_price_level_{i}"] = there("price")
+            out.setdefault(f"{s}_size_level_{i}", there("size"))
     for k in (5, 10, 20, 50):
         b, a = total(cut("bids", k)), total(cut("asks", k))
         out |= {f"bid_volume_{k}": b, f"ask_volume_{k}": a, f"total_volume_{k}": b + a, f"volume_imbalance_{k}": imbalance(b, a)}
