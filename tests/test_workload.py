@@ -42,3 +42,17 @@ def test_query_equals_its_sql(spark, sf, con, name):
 def test_entry_and_names(spark):
     assert set(SQL) <= set(entry.queries())
     assert entry.entry(spark).schema.names == ["exchange", "trade_id", "timestamp"]
+
+
+def test_nothing_else_imports_the_llm_subpackage():
+    from pathlib import Path
+
+    root = Path(entry.__file__).parent / "tideframe"
+    assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and "tideframe.llm" in p.read_text()]
+
+
+def test_no_lineage_is_cut_on_one_machine():
+    from pathlib import Path
+
+    root = Path(entry.__file__).parent / "tideframe"
+    assert not [p for p in root.rglob("*.py") if "localCheckpoint" in p.read_text()]
