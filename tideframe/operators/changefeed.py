@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideframe.functions import fs as files
+from tideframe.session import ship
 
 _META = ["_k", "_seq", "_gone"]
 
@@ -119,6 +120,7 @@ class ChangeTable:
         schema = T.StructType.fromJson(self.state["schema"])
         if meta:
             schema = T.StructType([*schema.fields, T.StructField("_k", T.StringType())])
+        ship(self.spark)
         n = self.state["buckets"]
         ids = self.spark.range(0, n, 1, n)
         return ids.mapInArrow(_kway(self.root, self.state["runs"], to_arrow_schema(schema), keep_tombstones, self.batch_rows), schema)

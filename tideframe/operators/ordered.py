@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideframe.session import scratch
+from tideframe.session import scratch, ship
 
 
 #: Rows a partition holds at most, about, where their number is known.
@@ -28,6 +28,7 @@ class OrderedTable:
 
     def __init__(self, df: DataFrame, by: list[str], partitions: int | None = None, rows: int = 0):
         self.spark = df.sparkSession
+        ship(self.spark)
         self.partitions = partitions or max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PARTITION))
         self.path = scratch(self.spark, "ordered")
         (df.repartitionByRange(self.partitions, *by).sortWithinPartitions(*by).withColumn("_p", F.spark_partition_id())

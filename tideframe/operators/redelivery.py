@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.session import BROADCAST_LIMIT, materialise, scratch
+from tideframe.session import BROADCAST_LIMIT, materialise, scratch, ship
 
 _POS = ["_tf_file", "_tf_row"]
 #: One vector covers this many rows, the bits of a long.
@@ -139,6 +139,7 @@ def apply_vectors(spark: SparkSession, path: str, dv: DeletionVectors, columns:
     df = spark.read.parquet(path)
     wide = df.select(*(columns or df.columns), F.col("_metadata.file_path").alias("_tf_file"), F.col("_metadata.row_index").alias("_tf_row"))
     if dv.bytes > limit:
+        ship(spark)
         return wide.mapInArrow(_filter_batches(_stored(spark, dv), deleted), wide.schema).drop(*_POS)
     hit = F.coalesce(F.expr(f"getbit(_tf_mask, cast(_tf_row % {WORD} as int))") == 1, F.lit(False))
     joined = wide.withColumn("_tf_word", F.expr(f"_tf_row div {WORD}")).join(F.broadcast(dv.words), ["_tf_file", "_tf_word"], "left")

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 
 from tideframe.functions import fs, normal
 from tideframe.operators import redelivery
-from tideframe.session import BROADCAST_LIMIT, materialise, scratch, small
+from tideframe.session import BROADCAST_LIMIT, materialise, scratch, ship, small
 
 #: Bits for each of the three dimensions: at most 2^18 codes, so the histogram is never larger than a few MB.
 BITS = 6
@@ -122,6 +122,7 @@ class Compaction:
 
 def compact(spark: SparkSession, path: str, target: str | None = None, rows_per_file: int = 1_000_000, record: str = "rec_no", order: tuple[str, ...] = ("file_no",), limit: int = BROADCAST_LIMIT) -> Compaction:
     """Write the table's records once each, clustered and in files of about ``rows_per_file`` rows; raises if a row is lost or doubled."""
+    ship(spark)
     dv = redelivery.find_copies(spark, path, {record: F.col(record)}, [F.col(c) for c in order], limit)
     kept = redelivery.apply_vectors(spark, path, dv, limit=limit)
     span = kept.agg(F.min("timestamp"), F.max("timestamp")).first()

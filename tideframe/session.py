@@ -31,6 +31,25 @@ def get_spark(cores: str | int = "*", shuffle_partitions: int = 8, **conf: str)
     return b.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once an application, so that they need no copy of their own."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent
+    at = tempfile.mkdtemp(prefix="tideframe-zip-")  # read by the driver only, which serves it to the executors
+    copy = Path(at) / "src"
+    shutil.copytree(root, copy / root.name, ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(f"{at}/tideframe_package", "zip", copy))
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: ``spark.checkpoint.dir``.
 

@@ -23,6 +23,7 @@ from tideframe.config import FeatureConfig
 from tideframe.functions import fs
 from tideframe.functions.normal import once
 from tideframe.operators import book, latebars, parse
+from tideframe.session import ship
 from tideframe.sources.sinks import write_dataset
 
 
@@ -173,6 +174,7 @@ def stateful_features(books: DataFrame, cfg: FeatureConfig = FeatureConfig(), de
     ``rv`` and ``ofi_sum`` hold a value for each horizon. The state of a key is durable: a restarted query goes on where it
     stopped.
     """
+    ship(books.sparkSession)
     b = book.normalise(books.filter("ts is not null and exchange is not null and symbol is not null")).select("exchange", "symbol", "ts", "seq", "bids", "asks")
     b = b.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
 
@@ -205,6 +207,7 @@ def stateful_book(changes: DataFrame, delay: str = "10 seconds") -> DataFrame:
 
     changes: exchange, symbol, ts (ms), sequence_num, side (bid or ask), price_level, new_quantity, removed.
     """
+    ship(changes.sparkSession)
     c = changes.filter("ts is not null and sequence_num is not null and side is not null and price_level is not null")
     c = c.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
 
