@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tideframe import schemas
+from tideframe.session import ship
 
 RUN = 12
 #: Parameters of BM25.
@@ -142,6 +143,7 @@ _FOUND = schemas.of(doc_id="long", item_id="long", answer_too="boolean")
 def leaks(documents: DataFrame, items: DataFrame, run: int = RUN, items_per_index: int = ITEMS_PER_INDEX) -> DataFrame:
     """doc_id, item_id and answer_too (all words of the answer stand in the document as well)."""
     spark = documents.sparkSession
+    ship(spark)
     rows = [(r.item_id, r.item_text, r.answer) for r in items.select("item_id", "item_text", "answer").toLocalIterator()]
     out = None
     for k in range(0, max(1, len(rows)), items_per_index):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe import schemas
-from tideframe.session import materialise
+from tideframe.session import materialise, ship
 
 CAPACITY = 2_048
 MAX_DOCUMENTS = 256
@@ -52,6 +52,7 @@ def count_tokens(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "tokens"])
 
+    ship(documents.sparkSession)
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, tokens long")
 
 

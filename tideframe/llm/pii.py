@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 
 from tideframe import schemas
 from tideframe.llm.pii_table import LABELLED, labelled_rows
+from tideframe.session import ship
 
 #: Bounds of the training: lines of the labelled table, passes over it, lines in a step; and names taken from a lexicon.
 TRAIN_LINES, EPOCHS, STEP_LINES, LEXICON_NAMES = 4_000, 6, 48, 200_000
@@ -462,6 +463,7 @@ _FOUND = schemas.of(doc_id="long", pii_type="string", start_pos="int", end_pos="
 
 def find(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, pii_type, start_pos and end_pos of every occurrence in ``text``."""
+    ship(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -480,6 +482,7 @@ def find(documents: DataFrame, model: Model) -> DataFrame:
 
 def redact(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id and the text with a typed placeholder for each occurrence; every other character is unchanged."""
+    ship(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
