@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tideframe.functions import fs
 from tideframe.operators import changefeed, drift, latebars, redelivery, smallfiles, spikes
+from tideframe.plans import problems
 from tideframe.session import scratch, shared_dir
 
 TRADE_COLS = "exchange string, symbol string, trade_id string, timestamp long, collected_at long, price double, amount double, rec_no long, n long, file string, key string, w int"
@@ -324,6 +326,45 @@ def test_rescue_and_replay(spark):
     assert drift.changes(spark.createDataFrame([], RAW)).count() == 0
 
 
+PAYLOAD_KEYS = {"bid": "b", "ask": "a", "bid_volume": "B", "ask_volume": "A", "last": "l", "open": "o", "high": "h", "low": "x", "vwap": "w", "base_volume": "v", "quote_volume": "q"}
+
+
+def holds_what_the_payload_says(spark, d):
+    """The columns of p5_table against the payload: a line's value under any name that repeats a column's payload key. Returns the values compared."""
+    lines, n = Counter(), 0
+    for r in spark.read.parquet(f"{d}/ticker_raw.parquet").collect():
+        try:
+            v = json.loads(r.raw)
+            info = v["info_json"] if isinstance(v["info_json"], dict) else json.loads(v["info_json"])
+        except (ValueError, KeyError, TypeError):
+            continue
+        number = lambda x: float(x) if isinstance(x, (int, float, str)) and not isinstance(x, bool) and re.fullmatch(r"-?[\d.]+(e-?\d+)?", str(x)) else None
+        held = {number(x) for k, x in v.items() if k != "info_json"} - {None}
+        lines[r.exchange.strip().lower(), r.file_seq, r.line_no, tuple(number(info[k]) if k in info and number(info[k]) in held else None for k in PAYLOAD_KEYS.values())] += 1
+        n += 1
+    table = Counter((r.exchange, r.file_seq, r.line_no, tuple(r[c] for c in PAYLOAD_KEYS)) for r in problems.p5_table(spark, d).collect())
+    assert n and not lines - table
+    return sum(x is not None for k in lines for x in k[3])
+
+
+def test_ticker_table_holds_every_value_by_payload_key(spark, tmp_path):
+    from tests.conftest import DATA
+
+    if not (DATA / "sf0.01").exists():
+        pytest.skip("no test data here")
+    assert holds_what_the_payload_says(spark, str(DATA / "sf0.01")) > 1000
+    names = {"best_bid_size": "B", "best_ask_size": "A", "lastPrice": "l", "avgPrice": "w", "volume24h": "v", "turnover": "q", "open_24h": "o", "somethingNew": "x"}
+    own = {"bidVolume": "B", "askVolume": "A", "last": "l", "vwap": "w", "baseVolume": "v", "quoteVolume": "q", "open": "o", "low": "x"}
+    rows = []
+    for seq, fields in ((1, own), (2, names)):
+        for i in range(3):
+            info = {k: 10.0 * seq + i + j / 16 for j, k in enumerate("BAlwvqox")}
+            rows.append(("Ax ", seq, i, json.dumps({f: str(info[k]) if i == 1 else info[k] for f, k in fields.items()} | {"halted": True, "info_json": info})))
+    spark.createDataFrame(rows, "exchange string, file_seq long, line_no int, raw string").write.parquet(f"{tmp_path}/ticker_raw.parquet")
+    assert holds_what_the_payload_says(spark, str(tmp_path)) == 6 * 8
+    assert {r._rescued for r in problems.p5_table(spark, str(tmp_path)).collect()} == {'{"halted":"true"}'}
+
+
 def test_superseded_files(spark):
     r = random.Random(4)
     rows = []

@@ -2,7 +2,8 @@
 
 Each line is parsed once into a variant. ``ingest`` enforces a target schema: values under a known or approved
 name that fit the column's type fill it, everything else (unknown names, values that do not cast) is kept
-as JSON in ``_rescued``. ``replay`` fills columns from rescued values once their names are approved. ``changes``
+as JSON in ``_rescued``. ``replay`` fills columns from rescued values once their names are approved; ``renames`` finds these
+names by what the fields measure. ``changes``
 compares each file with the one before it and names what was added, removed, renamed or retyped; a
 rename is recognised by the measure both fields repeat from the venue's own payload.
 
@@ -63,15 +64,34 @@ def profile(raw: DataFrame, keys: list[str], text: str = "raw") -> DataFrame:
     f = fields(raw, keys, text)
     by = [*keys, "name"]
     types = f.groupBy(*by, "type").agg(F.count("*").alias("n"))
-    types = types.groupBy(*by).agg(F.max_by("type", F.struct("n", F.col("type"))).alias("type"))
+    types = types.groupBy(*by).agg(F.max_by("type", F.struct("n", F.col("type"))).alias("type"), F.sum("n").alias("n"))
     # Each value is brought into its comparable form once; only the payload keys that agree with a field become rows.
     own = f.filter(F.col("name") != PAYLOAD).select(*by, comparable(F.col("value")).alias("a"), "payload")
     agree = F.map_keys(F.map_filter("payload", lambda k, v: v == F.col("a")))
     hits = own.select(*by, F.explode(agree).alias("key")).groupBy(*by, "key").agg(F.count("*").alias("hits"))
-    measure = hits.groupBy(*by).agg(F.min_by("key", F.struct(-F.col("hits"), F.col("key"))).alias("measure"))
+    measure = hits.groupBy(*by).agg(F.min_by(F.struct("key", "hits"), F.struct(-F.col("hits"), F.col("key"))).alias("m")).select(*by, F.col("m.key").alias("measure"), F.col("m.hits").alias("hits"))
     return types.join(measure, by, "left")
 
 
+def renames(raw: DataFrame, target: dict[str, str], approved: dict[str, str], keys: list[str], text: str = "raw") -> dict[str, str]:
+    """Other names of target columns: the fields that over all files measure, in most of their values, what one target column does.
+
+    A target column's measure is that of its own name and its approved names together. A measure that two target columns share
+    names neither. Only the names found, a few for each column, come to the driver.
+    """
+    column = F.create_map(*[F.lit(x) for n, c in ({c: c for c in target} | approved).items() for x in (n, c)])
+    prof = profile(raw, keys, text).select("name", F.coalesce(column[F.col("name")], F.lit("")).alias("column"), "measure", "hits", "n")
+    prof = materialise(prof.groupBy("name", "column", "measure").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")), "measures")
+
+    def best(d: DataFrame, by: str) -> DataFrame:
+        m = d.groupBy(by, "measure").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).groupBy(by)
+        m = m.agg(F.min_by(F.struct("measure", "hits"), F.struct(-F.coalesce("hits", F.lit(0)), F.col("measure"))).alias("m"), F.sum("n").alias("n"))
+        return m.filter("2 * m.hits > n").select(by, F.col("m.measure").alias("measure"))
+
+    columns = best(prof.filter("column <> ''"), "column").groupBy("measure").agg(F.min("column").alias("column"), F.count("*").alias("of")).filter("of = 1")
+    return {r["name"]: r["column"] for r in best(prof.filter("column = ''"), "name").join(columns, "measure").collect()}
+
+
 def changes(raw: DataFrame, exchange: str = "exchange", seq: str = "file_seq", text: str = "raw") -> DataFrame:
     """exchange, file_seq, change, old_field, new_field for each file against the one before it.
 

@@ -106,8 +106,6 @@ TICKER_COLUMNS = {
     "open": "double", "high": "double", "low": "double", "vwap": "double", "base_volume": "double", "quote_volume": "double", "info_json": "string",
 }
 TICKER_NAMES = {"bidVolume": "bid_volume", "askVolume": "ask_volume", "baseVolume": "base_volume", "quoteVolume": "quote_volume"}
-#: Names approved after a look at the report of changes; their values are replayed from the rescue column.
-TICKER_NAMES_LATER = {"bidQty": "bid_volume", "askQty": "ask_volume", "close": "last"}
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -115,9 +113,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_table(spark: SparkSession, d: str) -> DataFrame:
+    """The typed table; values under names that the files' profiles show to measure the same as a column are replayed into it."""
     raw = spark.read.parquet(f"{d}/ticker_raw.parquet").withColumn("exchange", normal.exchange("exchange"))
+    later = drift.renames(spread(raw.select("exchange", "file_seq", "raw")), TICKER_COLUMNS, TICKER_NAMES, ["exchange", "file_seq"])
     t = drift.ingest(raw, TICKER_COLUMNS, TICKER_NAMES, ["exchange", "file_seq", "line_no"])
-    return drift.replay(t, TICKER_COLUMNS, TICKER_NAMES_LATER)
+    return drift.replay(t, TICKER_COLUMNS, later)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
