@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,6 +160,29 @@ def test_delete_update_upsert(spark):
     assert not fs.files(spark, d.path)
 
 
+def test_partition_values_that_are_escaped_in_folder_names(spark):
+    at = scratch(spark, "escaped")
+    odd = ["BTC-USDT:USDT", "5%", "a=b", "#1'", "01", "1", "2025-03-04 10:00:00", None]
+    rows = [(s, i, float(i)) for s in odd for i in range(4)]
+    sinks.write_dataset(spark.createDataFrame(rows, "symbol string, k int, v double"), at, ["symbol"])
+    d = dml.Dataset(spark, at, ["symbol"])
+    held = lambda: Counter((r.symbol, r.k, r.v) for r in d.read().collect())
+    assert d.delete(F.col("k") == 0).rows_deleted == len(odd)
+    assert held() == Counter(r for r in rows if r[1])
+    assert d.update(F.col("k") == 1, {"v": -1.0}).rows_updated == len(odd)
+    want = {(s, k): -1.0 if k == 1 else v for s, k, v in rows if k}
+    assert held() == Counter((*k, v) for k, v in want.items())
+    new = [(s, k, 9.0) for s in [*odd[:-1], "new:%"] for k in (2, 7)]
+    s = d.upsert(spark.createDataFrame(new, "symbol string, k int, v double"), ["k"])
+    assert (s.rows_updated, s.rows_inserted) == (len(odd) - 1, len(odd) + 1)
+    want |= {(s, k): v for s, k, v in new}
+    assert held() == Counter((*k, v) for k, v in want.items())
+    with pytest.raises(RuntimeError):
+        d.update(F.col("k") == 7, {"symbol": "elsewhere"})
+    assert held() == Counter((*k, v) for k, v in want.items())
+    assert d.delete(F.lit(True)).rows_after == 0 and not fs.files(spark, at)
+
+
 def test_deduplicate_with_ties_and_nulls(spark):
     rows = [("A", "1", 1.0, None, "d", i) for i in range(9)] + [("A", None, 2.0, None, "d", 1), ("A", None, 1.0, None, "d", 1)]
     d = dataset(spark, rows)

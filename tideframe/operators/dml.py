@@ -1,21 +1,31 @@
 """DELETE, UPDATE and UPSERT on partitioned Parquet datasets.
 
-New content of the touched partitions is written beside the dataset, counted, and swapped in folder by folder; the old folders
-move to the backup, or are deleted at the end. A marker file refuses a second writer and tells an interrupted swap.
+New content of the touched partitions is written beside the dataset, counted, and swapped in folder by folder, then counted again
+as a reader finds it; the old folders move to the backup, or are deleted at the end. A marker file refuses a second writer and tells
+an interrupted swap, which leaves old and new folders where they are. Folders are found by the values their names stand for,
+whatever is escaped in them; the values are read as they stand, so ``01`` is not 1.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideframe.functions import fs
 from tideframe.sources.sinks import partition_value
 
 MARKER = "_swap_in_progress"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _unescape(name: str) -> str:
+    return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name)
 
 
 @dataclass
@@ -37,7 +47,10 @@ class Dataset:
 
     def read(self) -> DataFrame:
         d = self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        return d.withColumns({c: F.col(c).cast("string") for c in self.parts}) if self.parts else d
+        if not self.parts:
+            return d
+        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in self.parts else f for f in d.schema.fields])
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def _within(self, df: DataFrame, only: dict[str, str] | None) -> DataFrame:
         """Rows of the partitions with these values; any subset of the partition columns may be given."""
@@ -48,41 +61,63 @@ class Dataset:
             df = df.filter(F.col(c) == str(v).replace("/", "-"))
         return df
 
-    def _folder(self, row) -> str:
-        return "/".join([self.path, *[f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in self.parts]])
-
-    def _replace(self, content: DataFrame, touched: DataFrame) -> None:
-        """Swap the touched partitions (one row each) for their part of ``content``; partitions without rows go."""
+    def _folders(self, root: str) -> dict[tuple, list[str]]:
+        """The partition folders below ``root`` by their values, relative to it."""
+        rels = [""]
+        for _ in self.parts:
+            rels = [f"{r}/{n}" if r else n for r in rels for n in fs.subdirs(self.spark, f"{root}/{r}" if r else root) if "=" in n]
+        out = defaultdict(list)
+        for r in rels:
+            v = dict(map(_unescape, n.split("=", 1)) for n in r.split("/"))
+            out[tuple(None if v[c] == NULL_FOLDER else v[c] for c in self.parts)].append(r)
+        return out
+
+    def _replace(self, content: DataFrame, touched: list, rows: int) -> None:
+        """Swap the touched partitions (one row each) for their part of ``content``, which has so many rows; partitions without rows go."""
         marker = f"{self.path}/{MARKER}"
         if fs.exists(self.spark, marker):
             raise RuntimeError(f"{self.path}: another change is under way or was interrupted ({MARKER})")
         tag = uuid.uuid4().hex[:8]
         staging = f"{self.path}/_staging_{tag}"
+        old = f"{self.backup or self.path + '/_old'}_{tag}"
         fs.write_text(self.spark, marker, tag)
+        swapping = False
         try:
             out = content.repartition(*[F.col(c) for c in self.parts]) if self.parts else content
             w = out.write.mode("overwrite").option("compression", self.compression)
             (w.partitionBy(*self.parts) if self.parts else w).parquet(staging)
-            old = f"{self.backup or self.path + '/_old'}_{tag}" if self.backup else f"{self.path}/_old_{tag}"
-            folders = [self._folder(r) for r in touched.collect()] if self.parts else []  # folders, not rows
+            staged = self.spark.read.schema(content.schema).parquet(staging).count() if _staged(self.spark, staging) else 0
+            if staged != rows:
+                raise RuntimeError(f"{self.path}: {staged} rows were staged, {rows} are due; nothing was changed")
             if self.parts:
-                for f in folders:
-                    rel = f[len(self.path) + 1 :]
-                    if fs.exists(self.spark, f):
-                        fs.rename(self.spark, f, f"{old}/{rel}")
-                    if fs.exists(self.spark, f"{staging}/{rel}"):
-                        fs.rename(self.spark, f"{staging}/{rel}", f)
+                values = [tuple(r[c] for c in self.parts) for r in touched]
+                before, after = self._folders(self.path), self._folders(staging)
+                lost = [v for v in values if v not in before and v not in after] + [v for v in after if v not in set(values)]
+                if lost:
+                    raise RuntimeError(f"{self.path}: no folder where one is due, or one too many: {lost[:5]}; nothing was changed")
+                swapping = True
+                for v in values:
+                    for rel in before.get(v, []):
+                        fs.rename(self.spark, f"{self.path}/{rel}", f"{old}/{rel}")
+                    for rel in after.get(v, []):
+                        fs.rename(self.spark, f"{staging}/{rel}", f"{self.path}/{rel}")
             else:
+                swapping = True
                 for f in fs.files(self.spark, self.path):
                     fs.rename(self.spark, f.path, f"{old}/{f.path.rsplit('/', 1)[-1]}")
                 for f in _staged(self.spark, staging):
                     fs.rename(self.spark, f, f"{self.path}/{f.rsplit('/', 1)[-1]}")
+            self.spark.catalog.refreshByPath(self.path)
+            found = self._in(self.read(), touched).count() if not self.parts or self._folders(self.path) else 0
+            if found != rows:
+                raise RuntimeError(f"{self.path}: {found} rows after the swap, {rows} are due; the old folders are in {old}")
+            swapping = False
             if not self.backup:
                 fs.delete(self.spark, old)
         finally:
-            fs.delete(self.spark, staging)
-            fs.delete(self.spark, marker)
-        self.spark.catalog.refreshByPath(self.path)
+            if not swapping:
+                fs.delete(self.spark, staging)
+                fs.delete(self.spark, marker)
 
     def _touched(self, df: DataFrame) -> DataFrame:
         return df.select(*self.parts).distinct() if self.parts else df.limit(1)
@@ -96,8 +131,8 @@ class Dataset:
         s = Stats(rows_before=n[0], rows_deleted=n[1], rows_after=n[0] - n[1], partitions=hit.count() if n[1] else 0, dry_run=dry_run)
         if n[1] and not dry_run:
             rows = hit.collect() if self.parts else []
-            keep = self._in(df, rows).filter(~where)
-            self._replace(keep, self.spark.createDataFrame(rows, hit.schema) if self.parts else hit)
+            mine = self._in(df, rows)
+            self._replace(mine.filter(~where), rows, mine.count() - n[1])
         return s
 
     def _in(self, df: DataFrame, rows: list) -> DataFrame:
@@ -128,7 +163,8 @@ class Dataset:
         s = Stats(rows_before=n[0], rows_after=n[0], rows_updated=n[1], partitions=hit.count() if n[1] else 0, dry_run=dry_run)
         if n[1] and not dry_run:
             rows = hit.collect() if self.parts else []
-            self._replace(set_columns(self._in(df, rows), where, values), self.spark.createDataFrame(rows, hit.schema) if self.parts else hit)
+            mine = self._in(df, rows)
+            self._replace(set_columns(mine, where, values), rows, mine.count())
         return s
 
     def upsert(self, new: DataFrame, keys: list[str], update_cols: list[str] | None = None, dry_run: bool = False) -> Stats:
@@ -136,7 +172,7 @@ class Dataset:
         missing = [c for c in (*keys, *self.parts) if c not in new.columns]
         if missing:
             raise ValueError(f"new rows lack columns: {missing}")
-        new = new.withColumns({c: partition_value(c) for c in self.parts})
+        new = new.withColumns({c: F.nullif(partition_value(c), F.lit("")) for c in self.parts})  # an empty value has the folder of null
         empty = not fs.files(self.spark, self.path)
         old = new.limit(0) if empty else self.read()
         on = [*keys, *self.parts]
@@ -151,7 +187,7 @@ class Dataset:
         if not dry_run and (changed or fresh):
             if empty:
                 fs.mkdirs(self.spark, self.path)
-            self._replace(merged, self.spark.createDataFrame(rows, hit.schema) if self.parts else hit)
+            self._replace(merged, rows, before + fresh)
         return s
 
     def deduplicate(self, keys: list[str], order: list[Column], only: dict[str, str] | None = None) -> Stats:
@@ -161,7 +197,7 @@ class Dataset:
         n, m = df.count(), kept.count()
         if n > m:
             rows = self._touched(df).collect() if self.parts else []
-            self._replace(kept, self.spark.createDataFrame(rows, self._touched(df).schema) if self.parts else df.limit(1))
+            self._replace(kept, rows, m)
         return Stats(rows_before=n, rows_after=m, rows_deleted=n - m)
 
 
