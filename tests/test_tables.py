@@ -282,6 +282,41 @@ def test_the_job_as_a_stream(spark, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/out/s/trades").count() == 20
 
 
+def test_the_stream_writes_what_the_batch_job_writes(spark, tmp_path):
+    """Several micro-batches, restarts between them, one-sided and missing books, a quiet key, a gap, broken lines."""
+    r, m = random.Random(4), []
+    t = 1_700_000_000_000
+    for i in range(160):
+        t += 60_000 if i == 90 else r.choice([50, 150, 400, 900])
+        for k in ("A/B", "C/D") if i % 40 == 0 else ("A/B",):
+            side = lambda s: [[100 + s * (0.5 * n + r.random()), 1 + r.randint(0, 9)] for n in range(0 if r.random() < 0.2 else r.randint(1, 4))]
+            m.append({"type": "orderbook", "exchange": "ax", "symbol": k, "collected_at": t, "data": {"timestamp": t, "bids": side(-1), "asks": side(1)}})
+        if r.random() < 0.4:
+            m.append({"type": "trades", "exchange": "ax", "symbol": "A/B", "collected_at": t, "data": [{"id": str(i), "timestamp": t, "side": r.choice(["buy", "sell"]) if i < 60 else "buy", "price": 100.5, "amount": r.randint(1, 5)}]})
+        m.append({"type": "ticker", "exchange": "ax", "symbol": "A/B", "collected_at": t, "data": {"timestamp": t, "bid": 100, "ask": 101}})
+    o = {"bar_durations": [2, 5, 20], "horizons": [2, 5], "max_levels": 3, "spread_regime_window": 5, "kyle_lambda_window": 6, "depth_window": 5, "slope_window": 4, "hf_emit_interval": 0.5}
+    channels = {"ticker": ChannelConfig(enabled=False), "trades": ChannelConfig(partition_cols=["exchange"]), "orderbook": ChannelConfig(processor_options=o)}
+    cfg = lambda n: Config(raw_dir=f"file://{tmp_path}/{n}", processed_dir=f"file://{tmp_path}/{n}/out", channels=channels, max_files_per_trigger=1)
+    n, outs = len(m) // 4, {}
+    for i in range(4):
+        part = m[i * n : (i + 1) * n if i < 3 else None]
+        for job_ in ("batch", "stream"):
+            write_segment(tmp_path / job_ / "ready/s", f"segment_20231114T22_0000{i}.ndjson", part, ['{"broken'])
+        q = job.watch(spark, "s", cfg("stream"), f"file://{tmp_path}/cp", once=True, delay_ms=0)
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert job.drain(spark, "s", cfg("batch"))["rejected"] == 4
+    stats = [json.loads(p.read_text()) for p in sorted((tmp_path / "stream/out/s/_stats").glob("batch=*.json"))]
+    assert sum(s["messages"] for s in stats) == len(m) and sum(s["rejected"] for s in stats) == 4
+    assert sum(s["late"] for s in stats) == 0
+    assert not (tmp_path / "stream/out/s/ticker").exists()
+    for name in ("trades", "orderbook_hf", "orderbook_bars"):
+        for job_ in ("batch", "stream"):
+            d = spark.read.parquet(f"file://{tmp_path}/{job_}/out/s/{name}").drop("batch")
+            outs[job_] = sorted((str([(c, f"{0.0 + round(x, 6):.6f}" if isinstance(x, float) else x) for c, x in sorted(v.asDict().items()) if c not in ("seq",)]) for v in d.collect()))
+        assert len(outs["batch"]) > 10 and outs["stream"] == outs["batch"], name
+
+
 def stream_of(spark, tmp_path, df, parts, name):
     """The rows as a file stream of several micro-batches, in order of ``ts``."""
     at = str(tmp_path / name)

@@ -21,7 +21,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("source")
     c.add_argument("--start", help="first date in segment names, YYYY-MM-DD")
     c.add_argument("--end")
-    c = s.add_parser("watch", help="the same as a stream")
+    c = s.add_parser("watch", help="the same as a stream; books and trades wait 10 s for others of their time, later ones are counted and left out of hf rows and bars")
     c.add_argument("source")
     c.add_argument("--checkpoint", required=True)
     c = s.add_parser("retry", help="failed segments back to ready")
@@ -63,7 +63,7 @@ def run(args: argparse.Namespace) -> object:
     if args.command == "etl":
         return job.drain(spark, args.source, cfg, args.start, args.end)
     if args.command == "watch":
-        job.watch(spark, args.source, cfg, args.checkpoint).awaitTermination()
+        job.watch(spark, args.source, cfg, args.checkpoint, own_session=True).awaitTermination()
         return None
     if args.command == "retry":
         return {"segments": job.retry(spark, args.source, cfg)}

@@ -34,7 +34,7 @@ def read_segments(spark: SparkSession, folder: str, max_files: int = 100, clean:
         r = r.option("cleanSource", clean)
         if clean == "archive":
             r = r.option("sourceArchiveDir", archive)
-    return r.load(folder).select("value", F.col("_metadata.file_name").alias("_file"))
+    return r.load(folder).select("value", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
 
 
 def messages(lines: DataFrame) -> DataFrame:
