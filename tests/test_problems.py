@@ -407,6 +407,21 @@ def test_compaction_keeps_every_record_once(spark):
     assert smallfiles.compact(spark, empty).written[0] == 0
 
 
+def test_compacted_files_have_the_target_size(spark, monkeypatch):
+    from tests.conftest import DATA
+
+    if not (DATA / "sf0.1").exists():
+        pytest.skip("no test data here")
+    done, compact = [], smallfiles.compact
+    monkeypatch.setattr(smallfiles, "compact", lambda *a, **k: done.append(compact(*a, **k)) or done[-1])
+    n = problems.p6_compacted(spark, str(DATA / "sf0.1")).count()
+    assert n > 50_000 and done[0].files == 1 and len(fs.files(spark, done[0].path)) == 1
+    path = f"{DATA}/sf0.1/ticker.parquet"
+    size = sum(f.size for f in fs.files(spark, path)) / 1e6
+    c = compact(spark, path, target_mb=size / 4)
+    assert c.files == -(-4 * c.written[0] // spark.read.parquet(path).count()) > 1
+
+
 def test_shared_folder_is_the_sessions(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     at = scratch(spark, "x")

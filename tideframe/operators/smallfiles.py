@@ -120,9 +120,15 @@ class Compaction:
     written: tuple[int, int, int]
 
 
-def compact(spark: SparkSession, path: str, target: str | None = None, rows_per_file: int = 1_000_000, record: str = "rec_no", order: tuple[str, ...] = ("file_no",), limit: int = BROADCAST_LIMIT) -> Compaction:
-    """Write the table's records once each, clustered and in files of about ``rows_per_file`` rows; raises if a row is lost or doubled."""
+def compact(spark: SparkSession, path: str, target: str | None = None, rows_per_file: int | None = None, record: str = "rec_no", order: tuple[str, ...] = ("file_no",), limit: int = BROADCAST_LIMIT, target_mb: float = 128) -> Compaction:
+    """Write the table's records once each, clustered and in files of about ``rows_per_file`` rows; raises if a row is lost or doubled.
+
+    Without ``rows_per_file`` files hold as many rows as take ``target_mb`` in the table's own files.
+    """
     ship(spark)
+    if rows_per_file is None:
+        size = sum(f.size for f in fs.files(spark, path))
+        rows_per_file = max(1, int(spark.read.parquet(path).count() * target_mb * 1e6 / size)) if size else 1_000_000
     dv = redelivery.find_copies(spark, path, {record: F.col(record)}, [F.col(c) for c in order], limit)
     kept = redelivery.apply_vectors(spark, path, dv, limit=limit)
     span = kept.agg(F.min("timestamp"), F.max("timestamp")).first()

@@ -127,7 +127,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_compacted(spark: SparkSession, d: str) -> DataFrame:
     """The consolidated table, read back from its files."""
     path = f"{d}/ticker.parquet"
-    c = smallfiles.compact(spark, path, rows_per_file=50_000)
+    c = smallfiles.compact(spark, path)
     cols = ["rec_no", "timestamp", "bid", "ask", "base_volume"]
     return spark.read.schema(spark.read.parquet(path).schema).parquet(c.path).select(normal.exchange("exchange").alias("exchange"), normal.instrument("symbol").alias("symbol"), *cols)
 
