@@ -148,6 +148,17 @@ def k_interval(spark: SparkSession, d: str) -> DataFrame:
     return j.select("seq", "bar_start")
 
 
+def k_intervals(spark: SparkSession, d: str) -> DataFrame:
+    """Ticks in the bars published for them, of every duration."""
+    all_ = table(spark, d, "bars").select(normal.exchange("exchange").alias("exchange"), "symbol", "duration", (F.col("timestamp") * 1000).cast("long").alias("bar_start")).distinct()
+    out = None
+    for n in CFG.bar_durations:
+        b = all_.filter(F.col("duration") == n).withColumn("bar_end", F.col("bar_start") + n * 1000)
+        j = asof.range_join(ticks(spark, d).select(*KEY, "ts", "seq"), b.drop("duration"), KEY, "ts", "bar_start", "bar_end", n * 1000).select("seq", F.lit(n).alias("duration"), "bar_start")
+        out = j if out is None else out.unionByName(j)
+    return out
+
+
 def l_union(spark: SparkSession, d: str) -> DataFrame:
     a = ticks(spark, d).select("exchange", "symbol", "ts", "price")
     b = quotes(spark, d).filter("last is not null").select("exchange", "symbol", F.col("timestamp").alias("ts"), F.col("last").alias("price"), "rec_no")
@@ -383,6 +394,12 @@ def j_feature_bars(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(b, [*KEY, "duration", "bar_start", "count"], ["open", "high", "low", "close", "mean_spread", "mean_l1_imbalance", "sum_ofi", "max_spread"])
 
 
+def j_feature_bars_all(spark: SparkSession, d: str) -> DataFrame:
+    """At the durations of the configuration, and of 30 days, as these books are days apart."""
+    b = features.feature_bars(books(spark, d), FeatureConfig(bar_durations=(*CFG.bar_durations, 86_400 * 30)))
+    return _rounded(b, [*KEY, "duration", "bar_start", "count"], ["open", "high", "low", "close", "mean_spread", "mean_l1_imbalance", "sum_ofi", "max_spread"])
+
+
 def j_volume_bars(spark: SparkSession, d: str) -> DataFrame:
     b = bars.volume_bars(ticks(spark, d).withColumnRenamed("amount", "volume"), KEY, 50.0)
     return _rounded(b, [*KEY, "bucket", "open", "close", "trade_count", "start_time", "end_time"], ["volume", "buy_volume", "vwap", "buy_ratio"], 5)

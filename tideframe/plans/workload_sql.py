@@ -104,6 +104,7 @@ ROUNDED = {
     "i_kyle": (6, "kyle_lambda kyle_lambda_r2"),
     "j_time_bars": (6, "sum_ofi realized_variance sum_mlofi_decay close_step_mlofi"),
     "j_feature_bars": (6, "open high low close mean_spread mean_l1_imbalance sum_ofi max_spread"),
+    "j_feature_bars_all": (6, "open high low close mean_spread mean_l1_imbalance sum_ofi max_spread"),
     "j_volume_bars": (5, "volume buy_volume vwap buy_ratio"),
     "j_vpin": (5, "buy_volume sell_volume vpin"),
     "j_window_vwap": (5, "vwap volume"),
@@ -140,6 +141,7 @@ def oracle_sql() -> dict[str, str]:
     q["k_anti_join"] = f"select distinct exchange, symbol from {_TICKS} t where not exists (select 1 from orderbook o where lower(trim(o.exchange)) = t.exchange and replace(o.symbol, '-', '/') = t.symbol)"
     q["k_asof"] = f"""select t.seq, q.quote_no from {_TICKS} t asof left join (select exchange, symbol, "timestamp" ts, max(rec_no) quote_no from {_QUOTES} group by 1, 2, 3) q on t.exchange = q.exchange and t.symbol = q.symbol and t.ts >= q.ts"""
     q["k_interval"] = f"""select t.seq, b.bar_start from {_TICKS} t join (select distinct lower(trim(exchange)) exchange, symbol, cast("timestamp" * 1000 as bigint) bar_start from bars where duration = 300) b on t.exchange = b.exchange and t.symbol = b.symbol and t.ts >= b.bar_start and t.ts < b.bar_start + 300000"""
+    q["k_intervals"] = f"""select t.seq, cast(b.duration as integer) duration, b.bar_start from {_TICKS} t join (select distinct lower(trim(exchange)) exchange, symbol, duration, cast("timestamp" * 1000 as bigint) bar_start from bars) b on t.exchange = b.exchange and t.symbol = b.symbol and t.ts >= b.bar_start and t.ts < b.bar_start + b.duration * 1000"""
     q["l_union"] = f"""select exchange, symbol, count(*) n, count(rec_no) quotes, max(price) high from (select exchange, symbol, price, null rec_no from {_TICKS} union all select exchange, symbol, last, rec_no from {_QUOTES} where last is not null) group by 1, 2"""
     q["l_distinct_on"] = """select trade_id, "timestamp", rec_no, price from trades qualify row_number() over (partition by trade_id, "timestamp" order by collected_at, rec_no) = 1"""
     q["m_book_order"] = "select *, cast(row_number() over (partition by exchange, symbol order by sequence_num) as integer) place from (select distinct lower(trim(exchange)) exchange, symbol, sequence_num from orderbook)"
@@ -223,6 +225,8 @@ def oracle_sql() -> dict[str, str]:
     month = 86_400 * 30
     q["j_feature_bars"] = f"""select * exclude (nxt) from (select *, lead(bar_start) over (partition by exchange, symbol order by bar_start) nxt from (select exchange, symbol, cast({month} as integer) duration, ts - ts % {month * 1000} bar_start, count(*) count, round(arg_min(mid, (ts, seq)), 6) as open, round(max(mid), 6) high, round(min(mid), 6) low, round(arg_max(mid, (ts, seq)), 6) as close,
  round(sum(ba - bb) / count(*), 6) mean_spread, round(sum({_imb('sb', 'sa')}) / count(*), 6) "mean_l1_imbalance", round(sum({_OFI}), 6) sum_ofi, round(max(ba - bb), 6) max_spread from {_LAGGED} group by 1, 2, 3, 4)) where nxt is not null"""
+    q["j_feature_bars_all"] = f"""select * exclude (nxt) from (select *, lead(bar_start) over (partition by exchange, symbol, duration order by bar_start) nxt from (select exchange, symbol, cast(d as integer) duration, ts - ts % (d * 1000) bar_start, count(*) count, round(arg_min(mid, (ts, seq)), 6) as open, round(max(mid), 6) high, round(min(mid), 6) low, round(arg_max(mid, (ts, seq)), 6) as close,
+ round(sum(ba - bb) / count(*), 6) mean_spread, round(sum({_imb('sb', 'sa')}) / count(*), 6) "mean_l1_imbalance", round(sum(ofi), 6) sum_ofi, round(max(ba - bb), 6) max_spread from (select *, {_OFI} ofi from {_LAGGED}), (values (60::bigint), (300), (900), (3600), ({month})) v(d) group by 1, 2, 3, 4)) where nxt is not null"""
     size = round(50 / 1e-8)
     q["j_volume_bars"] = f"""select exchange, symbol, bucket, coalesce(lag(c) over w, o) as open, c as close, n trade_count, coalesce(lag(et) over w, st) start_time, et end_time, round(v * 1e-8, 5) volume, round(b * 1e-8, 5) buy_volume, round(pv / v, 5) vwap, round(b * 1e-8 / (v * 1e-8), 5) buy_ratio from
  (select exchange, symbol, bucket, arg_min(price, (ts, seq)) o, arg_max(price, (ts, seq)) c, min(ts) st, max(ts) et, count(*) n, cast(sum(fill) as bigint) v, cast(coalesce(sum(fill) filter (side = 'buy'), 0) as bigint) b, sum(price * fill) pv from {_fills(size)} group by 1, 2, 3) window w as (partition by exchange, symbol order by bucket) qualify v >= {size}"""
