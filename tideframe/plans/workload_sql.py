@@ -111,6 +111,7 @@ ROUNDED = {
     "n_book_states": (6, "mid_price spread spread_bps"),
     "n_hf_features": (1, "mid_price ofi_step ofi_sum_5184000s mlofi_sum_5184000s depth_0_5bps_sigma spread_percentile spread_regime_tight_frac cog_momentum_mean_5184000s cog_momentum_std_5184000s"),
     "o_upsert": (6, "bid ask"),
+    "o_upsert_all": (6, "bid ask"),
 }
 
 
@@ -255,6 +256,8 @@ def oracle_sql() -> dict[str, str]:
     q["o_delete"] = f"select exchange, date, rec_no, bid, base_volume from {base} where not (base_volume < 5000)"
     q["o_update"] = f"select exchange, date, rec_no, case when date = '2025-03-04' and bid > ask then ask else bid end bid, ask, case when date = '2025-03-04' and bid > ask then 0 else base_volume end base_volume from {base}"
     q["o_upsert"] = f"""with b as (select * from {base}), n as (select exchange, date, symbol, case when rec_no % 3 = 0 then -rec_no else rec_no end rec_no, bid + 1 bid, case when rec_no % 2 = 0 then ask + 1 end ask from b where rec_no % 5 = 0)
+ select coalesce(b.exchange, n.exchange) exchange, coalesce(b.date, n.date) date, coalesce(b.symbol, n.symbol) symbol, coalesce(b.rec_no, n.rec_no) rec_no, round(coalesce(n.bid, b.bid), 6) bid, round(coalesce(n.ask, b.ask), 6) ask from b full join n on b.exchange = n.exchange and b.date = n.date and b.rec_no = n.rec_no"""
+    q["o_upsert_all"] = f"""with b as (select * from {base}), n as (select exchange, date, symbol, case when base_volume < 5000 then -rec_no else rec_no end rec_no, bid + 1 bid, case when bid < 1000 then ask + 1 end ask from b)
  select coalesce(b.exchange, n.exchange) exchange, coalesce(b.date, n.date) date, coalesce(b.symbol, n.symbol) symbol, coalesce(b.rec_no, n.rec_no) rec_no, round(coalesce(n.bid, b.bid), 6) bid, round(coalesce(n.ask, b.ask), 6) ask from b full join n on b.exchange = n.exchange and b.date = n.date and b.rec_no = n.rec_no"""
     q["o_deduplicate"] = f"select exchange, rec_no, file_no, bid from {_QUOTES} qualify row_number() over (partition by rec_no order by file_no) = 1"
     q["p_repartition"] = f"select replace(symbol, '/', '-') symbol, cast(hour(make_timestamp(ts * 1000)) as integer) as hour, count(*) n, max(price) high from {_TICKS} group by 1, 2"
