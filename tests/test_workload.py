@@ -39,6 +39,31 @@ def test_query_equals_its_sql(spark, sf, con, name):
     assert canon(got, cols) == canon(want, cols)
 
 
+def test_whole_feature_row(spark, sf, con):
+    """Its columns that n_hf_features has too, and the flow of trades against a plain loop."""
+    f = entry.queries()["n_hf_whole"](spark, sf)
+    assert len(f.columns) > 160
+    f = f.toPandas()
+    few = entry.queries()["n_hf_features"](spark, sf).toPandas().set_index("seq")
+    both = [c for c in few.columns if c in f.columns and c not in ("exchange", "symbol")]
+    assert len(both) == 13 and set(f.seq) == set(few.index)
+    for c in both:
+        got = f.set_index("seq")[c].loc[few.index]
+        assert (got == few[c]).all() if few[c].dtype == object else (abs(got.astype(float) - few[c].astype(float)) <= 1e-3 * (1 + abs(few[c].astype(float)))).mean() == 1, c
+    rows = con.sql("select o_orderstatus e, cast(o_custkey as varchar) s, epoch_ms(o_orderdate) ts, case when l_linestatus = 'O' then 'buy' else 'sell' end side, cast(l_quantity as double) q from lineitem join orders on o_orderkey = l_orderkey").fetchall()
+    trades = {}
+    for e, s, ts, side, q in rows:
+        trades.setdefault((e, s), []).append((ts, side, q))
+    for r in f.itertuples():
+        for days in (1, 5, 10, 30, 60):
+            v = []
+            for side in ("buy", "sell"):
+                mine = [(t, q) for t, x, q in trades[r.exchange, r.symbol] if x == side and t <= r.ts]
+                end = max((t for t, _ in mine), default=0)
+                v.append(sum(q for t, q in mine if t > end - days * 86_400_000))
+            assert abs(getattr(r, f"trade_vol_{days * 86_400}s") - sum(v)) < 1e-6 and abs(getattr(r, f"tfi_{days * 86_400}s") - (v[0] - v[1]) / sum(v)) < 1e-9
+
+
 def test_entry_and_names(spark):
     assert set(SQL) <= set(entry.queries())
     assert entry.entry(spark).schema.names == ["exchange", "trade_id", "timestamp"]

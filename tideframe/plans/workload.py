@@ -449,13 +449,23 @@ def n_book_states(spark: SparkSession, d: str) -> DataFrame:
 
 
 def n_hf_features(spark: SparkSession, d: str) -> DataFrame:
-    """The whole feature row of the books, with default parameters and horizons of days, as these books are days apart."""
+    """Fifteen columns of the feature row of the books, without trades, with horizons of days, as these books are days apart."""
     cfg = FeatureConfig(horizons=(86_400 * 10, 86_400 * 60), hf_emit_interval=86_400.0, spread_regime_window=86_400 * 60, kyle_lambda_window=86_400 * 60, depth_window=86_400 * 60, slope_window=86_400 * 60)
     f = features.hf_features(books(spark, d), None, cfg)
     cols = ["mid_price", "ofi_step", "ofi_sum_5184000s", "mlofi_sum_5184000s", "depth_0_5bps_sigma", "spread_percentile", "spread_regime_tight_frac", "cog_momentum_mean_5184000s", "cog_momentum_std_5184000s"]
     return _rounded(f.drop("timestamp"), [*KEY, "seq", "spread_regime", "hour_of_day", "day_of_week", "is_weekend"], cols, 1)
 
 
+def n_hf_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The whole feature row of the books at five horizons, with an order's lines as its trades. Without SQL."""
+    day = 86_400
+    cfg = FeatureConfig(horizons=(day, 5 * day, 10 * day, 30 * day, 60 * day), hf_emit_interval=float(day), spread_regime_window=60 * day, kyle_lambda_window=60 * day, depth_window=60 * day, slope_window=60 * day)
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.when(F.col("l_linestatus") == "O", "buy").otherwise("sell").alias("side"))
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("exchange"), F.col("o_custkey").cast("string").alias("symbol"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts"))
+    t = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(*KEY, "ts", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"), "side", F.col("l_quantity").cast("double").alias("amount"))
+    return features.hf_features(books(spark, d), t, cfg)
+
+
 # Changes to datasets, and their layout.
 
 
