@@ -115,21 +115,45 @@ def test_change_table_merges_runs_and_compacts(spark):
     assert t.runs == 1 and {of(r): r._seq for r in t.read().collect()} == want
     again = changefeed.ChangeTable(spark, t.root, t.key, t.payload)
     again.append(spark.createDataFrame(rows[:50], CHANGE_COLS), F.col("seq"), F.col("gone") | (F.col("q") == 0))
-    assert {of(r): r._seq for r in again.read().collect()} == standing_after(rows, rows[:50], want)
+    assert {of(r): r._seq for r in again.read().collect()} == want  # repeated after the compaction, removals included
+
+
+def test_a_change_repeated_after_its_removal_stays_without_effect(spark):
+    row = lambda q, seq, gone: spark.createDataFrame([(1, q, seq, gone)], "k long, q double, seq long, gone boolean")
+    args = F.col("seq"), F.col("gone")
+    for horizon, back in ((None, False), (10_000, False), (10, True)):
+        t = changefeed.ChangeTable(spark, scratch(spark, "lsm"), ["k"], ["q"], buckets=2, redelivery_horizon_ms=horizon)
+        t.append(row(1.0, 1, False), *args, now_ms=1000)
+        t.append(row(None, 2, True), *args, now_ms=1000)
+        t.compact(now_ms=2000)
+        assert t.read().count() == 0
+        t.append(row(1.0, 1, False), *args, now_ms=3000)
+        assert (t.read().count() == 1) == back  # beyond the stated horizon the removal is forgotten
+
+
+def test_runs_stay_few_and_buckets_grow(spark, monkeypatch):
+    monkeypatch.setattr(changefeed, "RUNS_PER_TIER", 3)
+    monkeypatch.setattr(changefeed, "BASE_BYTES", 4000)
+    t = changefeed.ChangeTable(spark, scratch(spark, "lsm"), ["exchange", "symbol", "side", "level"], ["q"], buckets=2, batch_rows=7)
+    rows, most = some_changes(400, 9), 0
+    for i in range(20):
+        t.append(spark.createDataFrame(rows[20 * i : 20 * i + 20], CHANGE_COLS), F.col("seq"), F.col("gone") | (F.col("q") == 0))
+        most = max(most, t.runs)
+    assert most <= 6
+    want = standing(rows)
+    of = lambda r: (r.exchange, r.symbol, r.side, r.level)
+    assert {of(r): r._seq for r in t.read().collect()} == want
+    monkeypatch.setattr(changefeed, "BUCKET_BYTES", 1000)
+    t.append(spark.createDataFrame(rows[:20], CHANGE_COLS), F.col("seq"), F.col("gone") | (F.col("q") == 0))
+    assert t.state["buckets"] > 2 and {of(r): r._seq for r in t.read().collect()} == want
 
 
-def standing_after(rows, again, want):
-    """After compaction tombstones are gone: a change repeated later than that stands again unless a newer one does."""
-    out = dict(want)
-    for k, s in standing(again).items():
-        out[k] = max(out.get(k, s), s)
-    for x in again:
-        k = x[:4]
-        if None not in k and x[5] is not None and (x[6] or x[4] == 0.0) and out.get(k, -1) <= x[5]:
-            best = max((y for y in again if y[:4] == k and y[5] is not None), key=lambda y: (y[5], y[6] or y[4] == 0.0))
-            if (best[6] or best[4] == 0.0) and best[5] >= out.get(k, -1):
-                out.pop(k, None)
-    return out
+def test_of_equal_sequences_the_greater_payload_stands_whatever_the_run(spark):
+    for order in ([1.0, 2.0], [2.0, 1.0]):
+        t = changefeed.ChangeTable(spark, scratch(spark, "lsm"), ["k"], ["q"], buckets=1)
+        for q in order:
+            t.append(spark.createDataFrame([(1, q, 5)], "k long, q double, seq long"), F.col("seq"), F.lit(False))
+        assert [r.q for r in t.read().collect()] == [2.0]
 
 
 def test_change_table_without_changes(spark):
@@ -186,6 +210,63 @@ def test_a_batch_done_again_changes_nothing(spark):
     assert sorted(map(str, b.current().collect())) == before
 
 
+TRADE = "exchange string, symbol string, trade_id string, timestamp long, collected_at long, price double, amount double, rec_no long"
+DAY = 86_400_000
+
+
+def test_bars_outlive_their_process(spark):
+    rows = sorted(some_trades(300, 8), key=lambda x: x[4])
+    root = scratch(spark, "bars")
+    for i in range(3):  # a new process for each batch; the second one breaks off and is done again
+        b = latebars.EventTimeBars(spark, root)
+        part = spark.createDataFrame(rows[100 * i : 100 * i + 100], TRADE_COLS)
+        if i == 1:
+            with pytest.raises(ZeroDivisionError):
+                latebars.EventTimeBars(spark, root, upsert=lambda d, n: 1 / 0).process(part, i)
+            assert not latebars.EventTimeBars(spark, root).taken(i)
+        b.process(part, i)
+        b.process(part, i)
+    want, dropped = bars_of(rows)
+    again = latebars.EventTimeBars(spark, root)
+    assert {(r.exchange, r.symbol, r.duration, r.bar_start): (r.trade_count, r.n_late, r.volume or 0) for r in again.current().collect()} == want
+    assert again.dropped().count() == dropped
+    with pytest.raises(ValueError):
+        latebars.EventTimeBars(spark, root, durations=(60,))
+
+
+@pytest.mark.parametrize("slices", [1, 3, 30])
+def test_a_redelivery_days_later_is_neither_counted_nor_dropped(spark, slices):
+    r = random.Random(slices)
+    rows = []
+    for day in (0, 1, 2):
+        for i in range(60):
+            ts = day * DAY + r.randint(0, 7_200_000)
+            rows.append(["ax", "A/B", f"{day}-{i}", ts, ts + r.choice([0, 70_000, 1_500_000]), 1.0, 1.0])
+    rows += [[*x[:4], x[4] + r.choice([6 * 3_600_000, DAY, 2 * DAY]), *x[5:]] for x in r.sample(rows, 60)]
+    rows = [(*x, i) for i, x in enumerate(rows)]
+    b = latebars.EventTimeBars(spark).run(spark.createDataFrame(rows, TRADE), slices)
+    want, dropped = bars_of(rows)
+    got = {(x.exchange, x.symbol, x.duration, x.bar_start): (x.trade_count, x.n_late, x.volume) for x in b.current().collect()}
+    assert got == want and b.dropped().count() == dropped and len(b.state["taken"]) == 1
+
+
+def test_cost_and_state_of_a_batch_do_not_grow(spark, monkeypatch):
+    """Batches of ten minutes: open bars, pieces of a slot and folders stay few; upserts give each bar's last state."""
+    monkeypatch.setattr(latebars, "PIECES", 3)
+    last = {}
+    keep = lambda d, n: last.update({(x.symbol, x.duration, x.bar_start): x.trade_count for x in d.collect()})
+    b = latebars.EventTimeBars(spark, durations=(60, 300), forget_after_ms=3_600_000, upsert=keep)
+    opened = []
+    for i in range(14):
+        rows = [("ax", "A/B", f"{i}-{k}", 600_000 * i + 60_000 * k, 600_000 * i + 60_000 * k + 500, 1.0, 1.0, k) for k in range(10)]
+        b.process(spark.createDataFrame(rows, TRADE), i)
+        opened.append(b._open().count())
+    assert max(opened[4:]) == opened[4] and all(len(p) <= 4 for what in ("seen", "bars") for p in b.state[what].values())
+    assert len(b.state["seen"]) <= 3 and b.state["taken"] == [[0, 13]]
+    assert last == {(x.symbol, x.duration, x.bar_start): x.trade_count for x in b.current().collect()}
+    assert len(fs.subdirs(spark, f"{b.root}/bars/batch=0")) == 0
+
+
 def test_bars_of_nothing(spark):
     d = spark.createDataFrame([], TRADE_COLS)
     assert latebars.EventTimeBars(spark).run(d, 2).current().count() == 0

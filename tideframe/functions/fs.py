@@ -53,7 +53,10 @@ def copy(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a file; where only the new version beside it is there, an interrupted ``write_text``, that one."""
     fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        fs, p = _fs(spark, path + ".tmp")
     s = fs.open(p)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(s, "UTF-8")
@@ -61,8 +64,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         s.close()
 
 
+def has_text(spark: SparkSession, path: str) -> bool:
+    return exists(spark, path) or exists(spark, path + ".tmp")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the target, then rename over it, so that a reader never sees half a file."""
+    """Write beside the target, then rename over it, so that a reader never sees half a file; in one step where the file system can."""
     fs, p = _fs(spark, path)
     _, tmp = _fs(spark, path + ".tmp")
     fs.mkdirs(p.getParent())
@@ -71,8 +78,14 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         s.write(bytearray(text.encode()))
     finally:
         s.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    over = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    try:
+        hadoop.FileContext.getFileContext(fs.makeQualified(p).toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(tmp), fs.makeQualified(p), over)
+    except Exception:  # no such interface for this file system
+        fs.delete(p, False)
+        fs.rename(tmp, p)
 
 
 def files(spark: SparkSession, path: str, suffix: str = ".parquet") -> list[FileInfo]:
