@@ -183,6 +183,112 @@ def test_partition_values_that_are_escaped_in_folder_names(spark):
     assert d.delete(F.lit(True)).rows_after == 0 and not fs.files(spark, at)
 
 
+@pytest.mark.parametrize("how", ["update", "upsert", "delete", "flat"])
+def test_a_failed_move_loses_nothing(spark, monkeypatch, how):
+    """Each rename of a change fails in turn: the dataset stays whole and can be changed at once."""
+    rows = [(p, i, float(i)) for p in "abcd" for i in range(10)]
+    at, parts = scratch(spark, "faulty"), [] if how == "flat" else ["p"]
+    sinks.write_dataset(spark.createDataFrame(rows, "p string, k int, v double"), at, parts)
+    d = dml.Dataset(spark, at, parts)
+    held = lambda: Counter((r.p, r.k, r.v) for r in d.read().collect())
+    rename, calls = fs.rename, Counter()
+    change = {
+        "update": lambda: d.update(F.lit(True), {"v": 1.0}), "flat": lambda: d.update(F.lit(True), {"v": 1.0}), "delete": lambda: d.delete(F.col("k") < 9),
+        "upsert": lambda: d.upsert(spark.createDataFrame([(p, 3, 5.0) for p in "abcde"], "p string, k int, v double"), ["k"]),
+    }[how]
+    for fails in range(4):
+        calls.clear()
+
+        def faulty(s, a, b):
+            calls["n"] += 1
+            if calls["n"] == fails + 1:
+                raise OSError("injected")
+            rename(s, a, b)
+
+        monkeypatch.setattr(fs, "rename", faulty)
+        if how == "flat" and fails > 1:
+            break
+        with pytest.raises(RuntimeError):
+            change()
+        monkeypatch.setattr(fs, "rename", rename)
+        assert held() == Counter(rows) and not fs.exists(spark, f"{at}/{dml.MARKER}") and not [f for f in fs.files(spark, at) if "_staging" in f.path]
+    monkeypatch.setattr(fs, "rename", rename)
+    assert not change().failed and held() != Counter(rows)
+
+
+def test_an_interrupted_change_is_taken_back(spark, monkeypatch):
+    rows = [(p, i, float(i)) for p in "abcd" for i in range(10)]
+    at = scratch(spark, "broken")
+    sinks.write_dataset(spark.createDataFrame(rows, "p string, k int, v double"), at, ["p"])
+    d = dml.Dataset(spark, at, ["p"])
+    rename, calls = fs.rename, Counter()
+
+    def dies(s, a, b):
+        calls["n"] += 1
+        if calls["n"] > 5:
+            raise OSError("gone for good")
+        rename(s, a, b)
+
+    monkeypatch.setattr(fs, "rename", dies)
+    with pytest.raises(Exception):
+        d.update(F.lit(True), {"v": 1.0})
+    monkeypatch.setattr(fs, "rename", rename)
+    with pytest.raises(RuntimeError):
+        d.update(F.lit(True), {"v": 1.0})  # refused until it is taken back
+    assert dml.recover(spark, at) == "moving" and dml.recover(spark, at) == ""
+    assert Counter((r.p, r.k, r.v) for r in d.read().collect()) == Counter(rows)
+    d.isolate = True
+    monkeypatch.setattr(fs, "rename", lambda s, a, b: (_ for _ in ()).throw(OSError("x")) if "p=c" in a else rename(s, a, b))
+    assert d.update(F.lit(True), {"v": 1.0}).failed == [("c",)]
+    got = {r.p: r.s for r in d.read().groupBy("p").agg(F.sum("v").alias("s")).collect()}
+    assert got == {"a": 10.0, "b": 10.0, "c": 45.0, "d": 10.0}
+
+
+def test_many_partitions_are_found_by_a_join(spark, monkeypatch):
+    rows = [(f"d{i % 9}" if i % 9 else None, i % 2 and "x" or None, i) for i in range(90)]
+    at = scratch(spark, "many")
+    sinks.write_dataset(spark.createDataFrame(rows, "p string, q string, k int"), at, ["p", "q"])
+    d = dml.Dataset(spark, at, ["p", "q"])
+    monkeypatch.setattr(dml, "NAMED", 3)
+    assert d.update(F.col("k") >= 0, {"k": 7}).rows_updated == 90 and d.read().filter("k = 7").count() == 90
+    plan = d._in(d.read(), [{"p": f"d{i}", "q": "x"} for i in range(1, 9)])._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_compaction_and_repair_are_swapped_or_not_at_all(spark, monkeypatch):
+    at = scratch(spark, "tiny")
+    for i in range(3):
+        spark.createDataFrame([(p, i) for p in ("a:b", "c d+e")], "p string, k int").coalesce(1).write.mode("append").partitionBy("p").parquet(at)
+    rows = Counter((r.p, r.k) for r in spark.read.parquet(at).collect())
+    rename, calls = fs.rename, Counter()
+    for fails in range(4):
+        calls.clear()
+
+        def faulty(s, a, b):
+            calls["n"] += 1
+            if calls["n"] == fails + 1:
+                raise OSError("injected")
+            rename(s, a, b)
+
+        monkeypatch.setattr(fs, "rename", faulty)
+        with pytest.raises(RuntimeError):
+            layout.compact(spark, at)
+        monkeypatch.setattr(fs, "rename", rename)
+        assert Counter((r.p, r.k) for r in spark.read.parquet(at).collect()) == rows and len(fs.files(spark, at)) == 6
+    s = layout.compact(spark, at)
+    assert (s["files_before"], s["files_after"], s["rows"]) == (6, 2, 6)
+    assert Counter((r.p, r.k) for r in spark.read.parquet(at).collect()) == rows and len(fs.files(spark, at)) == 2
+    spark.createDataFrame([("a:b", 9)], "p string, k int").coalesce(1).write.mode("append").partitionBy("p").parquet(at)
+    assert layout.compact(spark, at, max_file_mb=0.5)["files_before"] == 2 and len(fs.files(spark, at)) == 2
+
+
+def test_addresses_workers_read():
+    from tideframe.functions import workerfs
+
+    assert workerfs.uri("s3a://b/k") == "s3://b/k" and workerfs.uri("s3n://b/k") == "s3://b/k" and workerfs.uri("dbfs:/x/y") == "/dbfs/x/y"
+    assert workerfs.uri("file:///tmp/x") == "/tmp/x" and workerfs.uri("/tmp/a:b") == "/tmp/a:b" and workerfs.uri("hdfs://n/x") == "hdfs://n/x"
+
+
 def test_deduplicate_with_ties_and_nulls(spark):
     rows = [("A", "1", 1.0, None, "d", i) for i in range(9)] + [("A", None, 2.0, None, "d", 1), ("A", None, 1.0, None, "d", 1)]
     d = dataset(spark, rows)

@@ -29,6 +29,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def drop_empty(spark: SparkSession, path: str) -> None:
+    """Delete a folder that holds nothing; anything else stays."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and fs.getFileStatus(p).isDirectory() and not len(fs.listStatus(p)):
+        fs.delete(p, False)
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

@@ -1,26 +1,29 @@
 """DELETE, UPDATE and UPSERT on partitioned Parquet datasets.
 
-New content of the touched partitions is written beside the dataset, counted, and swapped in folder by folder, then counted again
-as a reader finds it; the old folders move to the backup, or are deleted at the end. A marker file refuses a second writer and tells
-an interrupted swap, which leaves old and new folders where they are. Folders are found by the values their names stand for,
+New content of the touched partitions is written beside the dataset, counted by partition, and swapped in folder by folder (``functions.swap``:
+a failure takes every move back, an interruption is taken back by ``recover``), then counted again as a reader finds it. With
+``isolate`` a partition whose folders cannot be moved keeps its old content and is told in ``Stats.failed``; the others are changed.
+Old folders move to the backup, or are deleted at the end. Folders are found by the values their names stand for,
 whatever is escaped in them; the values are read as they stand, so ``01`` is not 1.
 """
 
 from __future__ import annotations
 
 import re
-import uuid
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideframe.functions import fs
+from tideframe.functions.swap import MARKER, Swap, recover  # noqa: F401
+from tideframe.session import small
 from tideframe.sources.sinks import partition_value
 
-MARKER = "_swap_in_progress"
+#: Partitions named one by one in a filter; more are found by a join with their table.
+NAMED = 64
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -37,13 +40,14 @@ class Stats:
     rows_inserted: int = 0
     partitions: int = 0
     dry_run: bool = False
+    failed: list = field(default_factory=list)
 
 
 class Dataset:
     """A dataset at ``path``, partitioned by ``partition_by`` (Hive folders; empty for a flat one)."""
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None, compression: str = "zstd", backup: str | None = None):
-        self.spark, self.path, self.parts, self.compression, self.backup = spark, path.rstrip("/"), partition_by or [], compression, backup
+    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None, compression: str = "zstd", backup: str | None = None, isolate: bool = False):
+        self.spark, self.path, self.parts, self.compression, self.backup, self.isolate = spark, path.rstrip("/"), partition_by or [], compression, backup, isolate
 
     def read(self) -> DataFrame:
         d = self.spark.read.option("mergeSchema", "true").parquet(self.path)
@@ -72,52 +76,49 @@ class Dataset:
             out[tuple(None if v[c] == NULL_FOLDER else v[c] for c in self.parts)].append(r)
         return out
 
-    def _replace(self, content: DataFrame, touched: list, rows: int) -> None:
-        """Swap the touched partitions (one row each) for their part of ``content``, which has so many rows; partitions without rows go."""
-        marker = f"{self.path}/{MARKER}"
-        if fs.exists(self.spark, marker):
-            raise RuntimeError(f"{self.path}: another change is under way or was interrupted ({MARKER})")
-        tag = uuid.uuid4().hex[:8]
-        staging = f"{self.path}/_staging_{tag}"
-        old = f"{self.backup or self.path + '/_old'}_{tag}"
-        fs.write_text(self.spark, marker, tag)
-        swapping = False
+    def _counts(self, df: DataFrame) -> dict[tuple, int]:
+        """Rows of each partition."""
+        return {tuple(r[c] for c in self.parts): r["_n"] for r in df.groupBy(*self.parts).agg(F.count("*").alias("_n")).collect()}
+
+    def _replace(self, content: DataFrame, touched: list, rows: int) -> list[tuple]:
+        """Swap the touched partitions (one row each) for their part of ``content``, which has so many rows; partitions without rows go. Gives those that failed."""
+        swap = Swap(self.spark, self.path, self.backup)
         try:
-            out = content.repartition(*[F.col(c) for c in self.parts]) if self.parts else content
+            # Rows of a partition are brought together; one of very many rows is spread over tasks and files.
+            out = content.hint("rebalance", *[F.col(c) for c in self.parts]) if self.parts else content
             w = out.write.mode("overwrite").option("compression", self.compression)
-            (w.partitionBy(*self.parts) if self.parts else w).parquet(staging)
-            staged = self.spark.read.schema(content.schema).parquet(staging).count() if _staged(self.spark, staging) else 0
+            (w.partitionBy(*self.parts) if self.parts else w).parquet(swap.staging)
+            counts = self._counts(self.spark.read.schema(content.schema).parquet(swap.staging)) if _staged(self.spark, swap.staging) else {}
+            staged = sum(counts.values())
             if staged != rows:
                 raise RuntimeError(f"{self.path}: {staged} rows were staged, {rows} are due; nothing was changed")
+            groups, values = [], [()]
             if self.parts:
                 values = [tuple(r[c] for c in self.parts) for r in touched]
-                before, after = self._folders(self.path), self._folders(staging)
+                before, after = self._folders(self.path), self._folders(swap.staging)
                 lost = [v for v in values if v not in before and v not in after] + [v for v in after if v not in set(values)]
                 if lost:
                     raise RuntimeError(f"{self.path}: no folder where one is due, or one too many: {lost[:5]}; nothing was changed")
-                swapping = True
-                for v in values:
-                    for rel in before.get(v, []):
-                        fs.rename(self.spark, f"{self.path}/{rel}", f"{old}/{rel}")
-                    for rel in after.get(v, []):
-                        fs.rename(self.spark, f"{staging}/{rel}", f"{self.path}/{rel}")
+                groups = [[*[(f"{self.path}/{r}", f"{swap.old}/{r}") for r in before.get(v, [])], *[(f"{swap.staging}/{r}", f"{self.path}/{r}") for r in after.get(v, [])]] for v in values]
             else:
-                swapping = True
-                for f in fs.files(self.spark, self.path):
-                    fs.rename(self.spark, f.path, f"{old}/{f.path.rsplit('/', 1)[-1]}")
-                for f in _staged(self.spark, staging):
-                    fs.rename(self.spark, f, f"{self.path}/{f.rsplit('/', 1)[-1]}")
+                name = lambda p: p.rsplit("/", 1)[-1]
+                groups = [[*[(f.path, f"{swap.old}/{name(f.path)}") for f in fs.files(self.spark, self.path)], *[(f, f"{self.path}/{name(f)}") for f in _staged(self.spark, swap.staging)]]]
+        except Exception:
+            swap.abandon()
+            raise
+        failed = [values[i] for i in swap.make(groups, self.isolate)]
+        self.spark.catalog.refreshByPath(self.path)
+        try:
+            found = self._counts(self._in(self.read(), touched)) if not self.parts or self._folders(self.path) else {}
+            wrong = [v for v in values if v not in set(failed) and found.get(v, 0) != counts.get(v, 0)]
+            if wrong:
+                raise RuntimeError(f"{self.path}: other rows after the swap than are due in {wrong[:5]}; nothing was changed")
+        except Exception:
+            swap.undo()
             self.spark.catalog.refreshByPath(self.path)
-            found = self._in(self.read(), touched).count() if not self.parts or self._folders(self.path) else 0
-            if found != rows:
-                raise RuntimeError(f"{self.path}: {found} rows after the swap, {rows} are due; the old folders are in {old}")
-            swapping = False
-            if not self.backup:
-                fs.delete(self.spark, old)
-        finally:
-            if not swapping:
-                fs.delete(self.spark, staging)
-                fs.delete(self.spark, marker)
+            raise
+        swap.finish()
+        return failed
 
     def _touched(self, df: DataFrame) -> DataFrame:
         return df.select(*self.parts).distinct() if self.parts else df.limit(1)
@@ -132,21 +133,32 @@ class Dataset:
         if n[1] and not dry_run:
             rows = hit.collect() if self.parts else []
             mine = self._in(df, rows)
-            self._replace(mine.filter(~where), rows, mine.count() - n[1])
+            s.failed = self._replace(mine.filter(~where), rows, mine.count() - n[1])
         return s
 
     def _in(self, df: DataFrame, rows: list) -> DataFrame:
-        """Rows of the listed partitions, by a filter that prunes folders."""
+        """Rows of the listed partitions, by a filter or a join that prunes folders."""
         if not self.parts:
             return df
         if not rows:
             return df.filter(F.lit(False))
-        one = lambda r: [F.col(c).eqNullSafe(F.lit(r[c])) for c in self.parts]
+        values = [tuple(r[c] for c in self.parts) for r in rows]
+        if len(values) > NAMED:
+            # Plain equality lets the scan skip folders by the table's values; partitions of a null value are met beside it.
+            whole, part = [v for v in values if None not in v], [v for v in values if None in v]
+            names = [f"_t{i}" for i in range(len(self.parts))]
+            table = lambda v: small(self.spark.createDataFrame(v, ", ".join(f"{n} string" for n in names)), len(v))
+            # The scan skips folders only for a table under a condition; this one is true of all.
+            out = df.join(table(whole).filter("_t0 >= ''"), [F.col(c) == F.col(n) for c, n in zip(self.parts, names)], "left_semi")
+            some = F.lit(False)
+            for c in self.parts:
+                some = some | F.col(c).isNull()
+            return out.unionByName(df.filter(some).join(table(part), [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(self.parts, names)], "left_semi")) if part else out
         conds = []
-        for r in rows:
+        for v in values:
             c = F.lit(True)
-            for x in one(r):
-                c = c & x
+            for n, x in zip(self.parts, v):
+                c = c & F.col(n).eqNullSafe(F.lit(x))
             conds.append(c)
         while len(conds) > 1:  # a balanced tree keeps the plan shallow
             conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
@@ -164,7 +176,7 @@ class Dataset:
         if n[1] and not dry_run:
             rows = hit.collect() if self.parts else []
             mine = self._in(df, rows)
-            self._replace(set_columns(mine, where, values), rows, mine.count())
+            s.failed = self._replace(set_columns(mine, where, values), rows, mine.count())
         return s
 
     def upsert(self, new: DataFrame, keys: list[str], update_cols: list[str] | None = None, dry_run: bool = False) -> Stats:
@@ -187,7 +199,7 @@ class Dataset:
         if not dry_run and (changed or fresh):
             if empty:
                 fs.mkdirs(self.spark, self.path)
-            self._replace(merged, rows, before + fresh)
+            s.failed = self._replace(merged, rows, before + fresh)
         return s
 
     def deduplicate(self, keys: list[str], order: list[Column], only: dict[str, str] | None = None) -> Stats:
