@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideframe.functions import workerfs
 from tideframe.session import scratch, ship
 
 
@@ -40,13 +41,11 @@ class OrderedTable:
 
         def run(batches):
             import pyarrow.parquet as pq
-            from pyarrow import fs
 
-            filesystem, base = fs.FileSystem.from_uri(path)
+            filesystem, base = workerfs.opened(path)
             for b in batches:
                 for p in b.column(0).to_pylist():
-                    found = filesystem.get_file_info(fs.FileSelector(f"{base}/_p={p}", allow_not_found=True))
-                    names = sorted(i.path for i in found if i.path.endswith(".parquet"))  # parts of one task are numbered in order
+                    names = workerfs.data_files(filesystem, f"{base}/_p={p}")  # parts of one task are numbered in order
                     if names:
                         t = pa.concat_tables([pq.read_table(x, filesystem=filesystem, partitioning=None) for x in names])
                         yield from fn(t, ctx.value.get(p)).combine_chunks().to_batches()
@@ -59,13 +58,11 @@ class OrderedTable:
 
         def run(batches):
             import pyarrow.parquet as pq
-            from pyarrow import fs
 
-            filesystem, base = fs.FileSystem.from_uri(path)
+            filesystem, base = workerfs.opened(path)
             for b in batches:
                 for p in b.column(0).to_pylist():
-                    found = filesystem.get_file_info(fs.FileSelector(f"{base}/_p={p}", allow_not_found=True))
-                    names = sorted(i.path for i in found if i.path.endswith(".parquet"))
+                    names = workerfs.data_files(filesystem, f"{base}/_p={p}")
                     if names:
                         t = pa.concat_tables([pq.read_table(x, filesystem=filesystem, partitioning=None) for x in names])
                         yield pa.RecordBatch.from_pydict({"p": [p], "e": [json.dumps(fn(t))]}, schema=pa.schema([("p", pa.int32()), ("e", pa.string())]))

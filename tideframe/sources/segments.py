@@ -71,9 +71,11 @@ def read_files_recursive(spark: SparkSession, path: str, pattern: str = "*.parqu
 
 
 def file_listing(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
-    """path, name, size and modified_ms of each data file below a folder."""
-    rows = [(f.path, f.path.rsplit("/", 1)[-1], f.size, f.modified_ms) for f in fs.files(spark, path, suffix)]
-    return spark.createDataFrame(rows, "path string, name string, size long, modified_ms long")
+    """path, name, size and modified_ms of each data file below a folder; many folders are listed by many tasks, and no name comes to the driver's Python."""
+    if not fs.exists(spark, path):
+        return spark.createDataFrame([], "path string, name string, size long, modified_ms long")
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return d.filter(F.col("path").endswith(suffix)).select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("length").alias("size"), F.unix_millis("modificationTime").alias("modified_ms"))
 
 
 def path_values(path: Column, *names: str) -> list[Column]:
