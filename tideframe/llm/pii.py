@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,7 +26,7 @@ from tideframe.llm.pii_table import LABELLED, labelled_rows
 from tideframe.session import ship
 
 #: Bounds of the training: lines of the labelled table, passes over it, lines in a step; and names taken from a lexicon.
-TRAIN_LINES, EPOCHS, STEP_LINES, LEXICON_NAMES = 4_000, 6, 48, 200_000
+TRAIN_LINES, EPOCHS, STEP_LINES, LEXICON_NAMES = 6_000, 5, 48, 200_000
 REACH = 3
 LABELS = ["O", *[f"{p}-{t}" for t in LABELLED for p in "BI"]]
 L = len(LABELS)
@@ -38,6 +39,12 @@ PLACEHOLDERS = {t: f"[{t.upper()}]" for t in LABELLED}
 BATCH_TOKENS = 150_000
 
 
+#: Words for streets, endings of such words, and titles of persons, in the languages of the labelled table.
+_STREET_WORDS = frozenset("street st lane road rd close avenue ave way drive court crescent terrace square row hill gardens grove rue boulevard place quai chemin impasse allée calle avenida plaza paseo camino ul al pl os ул пр пер наб просп".split())
+_STREET_ENDINGS = ("weg", "gasse", "straße", "strasse", "platz", "allee", "damm")
+_TITLES = frozenset("mr mrs ms miss dr prof professor sir captain rev herr herrn frau m mme mlle madame monsieur sr sra don doña señor señora pan pani pana доктор проф".split())
+
+
 def _features(token: str, given: frozenset, surnames: frozenset) -> list[str]:
     w = token.lstrip()
     space = "_" if len(w) < len(token) else ""
@@ -57,6 +64,10 @@ def _features(token: str, given: frozenset, surnames: frozenset) -> list[str]:
         case = "XxX"
     script = "" if low.isascii() else "c" if "а" <= low[0] <= "я" or low[0] == "ё" else "l"
     out = [case, space + case, "w=" + low, f"{case}{script}{min(len(w), 9)}"]
+    if low in _STREET_WORDS or low.endswith(_STREET_ENDINGS):
+        out += ["street", space + "street"]
+    if low in _TITLES:
+        out.append("title")
     if len(w) > 3:
         out += ["3" + low[-3:], "2" + low[-2:], "p" + low[:3], case + "3" + low[-3:]]
     if w in given or w.capitalize() in given:
@@ -166,9 +177,9 @@ def _tokens(lines: list[list[tuple[str, str]]]) -> tuple[list[str], np.ndarray,
     return toks, np.array(labels), np.array(where), plain
 
 
-def train(given: list[str], surnames: list[str], lines: int = TRAIN_LINES, epochs: int = EPOCHS, seed: int = 7, rate: float = 0.25, decay: float = 2e-4) -> Model:
-    """Fit the field to ``lines`` labelled lines; the same arguments give the same weights."""
-    rows = labelled_rows(sorted(given), sorted(surnames), lines, seed)
+def train(given: list[str], surnames: list[str], lines: int = TRAIN_LINES, epochs: int = EPOCHS, seed: int = 7, rate: float = 0.25, decay: float = 2e-4, forms: str = "all") -> Model:
+    """Fit the field to ``lines`` labelled lines; the same arguments give the same weights. ``forms``: of which forms of the table."""
+    rows = labelled_rows(sorted(given), sorted(surnames), lines, seed, forms)
     toks, y, line, plain = _tokens(rows)
     g, s = frozenset(given), frozenset(surnames)
     types = list(dict.fromkeys(toks))
@@ -435,14 +446,18 @@ _MODELS: dict[tuple, Model] = {}
 
 
 def model_for(lexicon: DataFrame) -> Model:
-    """The model for a lexicon (name, kind) of at most LEXICON_NAMES names, trained once in a process."""
-    rows = lexicon.select("name", "kind").filter("name is not null").distinct().limit(LEXICON_NAMES + 1).collect()
-    if len(rows) > LEXICON_NAMES:
-        raise ValueError(f"the lexicon has more than {LEXICON_NAMES} names")
-    given, surnames = sorted(r.name for r in rows if r.kind == "given"), sorted(r.name for r in rows if r.kind == "surname")
+    """The model for a lexicon (name, kind), trained once in a process.
+
+    Its size is that of a dictionary, not of the documents: all names are looked up. Training takes LEXICON_NAMES of them at most, chosen by a hash.
+    """
+    rows = lexicon.select("name", "kind").filter("name is not null").distinct().collect()
+    given, surnames = (sorted(r.name for r in rows if r.kind == k) for k in ("given", "surname"))
     key = (tuple(given), tuple(surnames))
     if key not in _MODELS:
-        _MODELS[key] = train(given, surnames)
+        some = lambda names: names if len(names) <= LEXICON_NAMES else sorted(names, key=lambda n: zlib.crc32(n.encode()))[:LEXICON_NAMES]
+        model = train(some(given), some(surnames))
+        model.given, model.surnames = frozenset(given), frozenset(surnames)
+        _MODELS[key] = model
     return _MODELS[key]
 
 
