@@ -113,12 +113,41 @@ def test_leaks_equal_brute_force(spark):
     assert len(want) > 20
     it = spark.createDataFrame(items, "item_id long, item_text string, answer string")
     for per in (20_000, 9):
-        got = leak.leaks(spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1)), it, items_per_index=per).collect()
+        got = leak.leaks(spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1)), it, items_per_index=per, items_per_pass=5 * per).collect()
         assert len(got) == len(want) and {(r.doc_id, r.item_id) for r in got} == want
     assert leak.leaks(spark.createDataFrame([], "doc_id long, text string"), it).count() == 0
     assert leak.leaks(spark.createDataFrame(docs, "doc_id long, text string"), it.limit(0)).count() == 0
 
 
+def test_cold_blocks_are_not_read():
+    """Of many items only blocks that could reach a threshold are scored."""
+    r = random.Random(1)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(r.choice(vocab) for _ in range(30)), None) for i in range(2000)]
+    ix = leak.build_index(rows)
+    read = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, k):
+            read.append(np.size(k))
+            return np.asarray(self)[k]
+
+    whole, ix.items = len(ix.items), ix.items.view(Watched)
+    doc = [r.choice(vocab) for _ in range(600)]
+    doc[100:112] = rows[7][1].split()[5:17]
+    ids = np.array([ix.vocab.get(w, -1) for w in doc], np.int32)
+    assert [ix.ids[k] for k in leak.search(ix, ids)] == [7]
+    assert 0 < sum(read) < whole / 20
+
+
+@pytest.mark.parametrize("tolerance", [5_000, 86_400_000])
+def test_first_buckets_are_narrow_whatever_the_tolerance(spark, tolerance):
+    left = spark.createDataFrame([("a", 10_000_000, 1), ("a", 0, 2)], "k string, t long, id long")
+    right = spark.createDataFrame([("a", 10_000_000 + 4_000, 5), ("a", 10_000_000 + 70_000_000, 6)], "k string, t long, v long")
+    got = {x.id: (x.v, x.distance) for x in nearest.match_nearest(left, right, ["k"], "t", "id", "t", "v", tolerance).collect()}
+    assert got == ({1: (5, 4_000)} if tolerance == 5_000 else {1: (5, 4_000), 2: (5, 10_004_000)})
+
+
 GIVEN = "Anora Belric Corwyn Dellan Edora Fenlin Garbert Halwyn Iseko Jorana".split()
 SURNAMES = "Abbley Brandsen Corvic Dunmann Ellworth Farski Gornett Hallani Ibreau Jonsdal".split()
 

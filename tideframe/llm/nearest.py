@@ -1,7 +1,7 @@
 """Problem 7: the nearest record in time of the same entity, by expanding rings.
 
 The right side is reduced to one row for each bucket of time: its earliest and latest record and, at the
-first ring only, its distinct times, of which a bucket cannot hold more than it has milliseconds. Every left row
+first ring only, its distinct times, of which a bucket cannot hold more than it has milliseconds, whatever the tolerance. Every left row
 meets exactly one row of the right side in each ring, so no ring forms pairs within a group. A match
 is taken once no nearer record can exist; the other left rows go on to a ring twice as wide, up to the
 tolerance.
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tideframe.session import materialise
 
-RINGS = 4
+#: Width in ms from which the first ring's buckets are not made wider: a bucket of the first ring keeps at most this many distinct times.
+FIRST_WIDTH = 1_024
 
 
 def _bucket(c: Column, width: int) -> Column:
@@ -41,10 +42,10 @@ def _ring(points: DataFrame, by: list[str], width: int, own: bool) -> DataFrame:
     return p.groupBy(*by, "_b").agg(F.max("left").alias("left"), F.min("right").alias("right"), *([F.first("all", ignorenulls=True).alias("all")] if own else []))
 
 
-def match_nearest(left: DataFrame, right: DataFrame, by: list[str], left_time: str, left_id: str, right_time: str, right_value: str, tolerance_ms: int = 5_000, rings: int = RINGS) -> DataFrame:
+def match_nearest(left: DataFrame, right: DataFrame, by: list[str], left_time: str, left_id: str, right_time: str, right_value: str, tolerance_ms: int = 5_000, rings: int | None = None) -> DataFrame:
     """``left_id``, ``right_value`` and ``distance`` (ms) of every left row with a record within the tolerance.
 
-    Times and values are longs; ``by`` names the entity on both sides.
+    ``rings``: by default four, or as many as it takes from a first bucket of at most FIRST_WIDTH. Times and values are longs; ``by`` names the entity on both sides.
     """
     pts = right.select(*by, F.col(right_time).alias("_t"), F.col(right_value).alias("_v")).filter("_t is not null and _v is not null").groupBy(*by, "_t").agg(F.min("_v").alias("_v"))
     pts = materialise(pts, "points")
@@ -52,6 +53,10 @@ def match_nearest(left: DataFrame, right: DataFrame, by: list[str], left_time: s
     for c in by:
         todo = todo.filter(F.col(c).isNotNull())
     done = None
+    if rings is None:
+        rings = 4
+        while -(-tolerance_ms // (1 << (rings - 1))) > FIRST_WIDTH:
+            rings += 1
     radius = max(1, -(-tolerance_ms // (1 << (rings - 1))))
     width, own = radius, True
     while True:

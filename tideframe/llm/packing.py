@@ -33,21 +33,29 @@ TOKENIZER = os.environ.get("TIDEFRAME_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def encoder(path: str = TOKENIZER):
+def vocabulary(path: str = TOKENIZER) -> dict[bytes, int]:
     import base64
 
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
+def encoding(ranks: dict[bytes, int]):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
     return tiktoken.Encoding("tideframe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encoder(path: str = TOKENIZER):
+    return encoding(vocabulary(path))
+
+
 def count_tokens(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """doc_id and tokens of each whole text. The vocabulary file must be at ``path`` on every executor."""
+    """doc_id and tokens of each whole text. The vocabulary is read on the driver and given to the executors, which need no copy of it."""
+    ranks = documents.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoding(ranks.value)
         for b in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "tokens"])
@@ -117,7 +125,9 @@ def _pack(items: DataFrame, shards: int, capacity: int, max_documents: int, atte
             t = t.append_column(n, pa.array(v))
         return t.select(_PACKED.names)
 
-    return items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))).groupBy("shard").applyInArrow(run, _PACKED)
+    # As many partitions as shards: the rows are few bytes, and shards joined into one task would be packed one after another.
+    d = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))).repartition(shards, "shard")
+    return d.groupBy("shard").applyInArrow(run, _PACKED)
 
 
 def pack(documents: DataFrame, capacity: int = CAPACITY, max_documents: int = MAX_DOCUMENTS, attention: int | None = None, path: str = TOKENIZER, shard_items: int = SHARD_ITEMS) -> DataFrame:
@@ -131,14 +141,11 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, max_documents: int = MA
     shards = max(1, -(-n // shard_items))
     packed = materialise(_pack(rest, shards, capacity, max_documents, attention), "packed")
     name = lambda tag: F.concat_ws("-", F.lit(tag), "shard", "bin")
-    if shards > 1:
-        good = (F.col("fill") >= int(WELL_FILLED * capacity)) | (F.col("members") >= max_documents)
-        again = packed.filter(~good)
-        m = again.count()
-        second = _pack(again.select("doc_id", "piece", "start", "tokens"), max(1, -(-m // shard_items)), capacity, max_documents, attention)
-        out = packed.filter(good).select(name("a").alias("sequence_id"), "doc_id", "piece", "start", "tokens").unionByName(second.select(name("b").alias("sequence_id"), "doc_id", "piece", "start", "tokens"))
-    else:
-        out = packed.select(name("a").alias("sequence_id"), "doc_id", "piece", "start", "tokens")
+    good = (F.col("fill") >= int(WELL_FILLED * capacity)) | (F.col("members") >= max_documents)
+    again = packed.filter(~good)
+    m = again.count()
+    second = _pack(again.select("doc_id", "piece", "start", "tokens"), max(1, -(-m // shard_items)), capacity, max_documents, attention)
+    out = packed.filter(good).select(name("a").alias("sequence_id"), "doc_id", "piece", "start", "tokens").unionByName(second.select(name("b").alias("sequence_id"), "doc_id", "piece", "start", "tokens"))
     own = F.concat_ws("-", F.lit("f"), "doc_id", "piece")
     return out.unionByName(full.select(own.alias("sequence_id"), "doc_id", "piece", "start", "tokens"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideframe.functions import normal
 from tideframe.llm import leak, nearest, packing, pii
-from tideframe.session import spread
+from tideframe.session import materialise, spread
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -26,6 +26,23 @@ def p8_sequences(spark: SparkSession, d: str) -> DataFrame:
     return p8_packed(spark, d).groupBy("sequence_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"))
 
 
+def p8_sound(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every packing, counted: documents placed, and cases of each fault."""
+    p = materialise(p8_packed(spark, d), "sound")
+    by_doc = p.groupBy("doc_id").agg(F.sum("tokens").alias("n"), F.max("piece").alias("last"), F.count("*").alias("pieces"), F.countDistinct("piece").alias("different"), F.sum((F.col("start") != F.col("piece") * packing.CAPACITY).cast("int")).alias("moved"))
+    by_seq = p.groupBy("sequence_id").agg(F.sum("tokens").alias("n"), F.count("*").alias("members"))
+    wrong = lambda c, n: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(n)
+    need = F.greatest(F.lit(1), F.ceil(F.col("n") / packing.CAPACITY))
+    a = by_doc.agg(F.count("*").alias("documents"), wrong((F.col("pieces") != need) | (F.col("different") != F.col("pieces")) | (F.col("last") + 1 != F.col("pieces")), "cut_wrongly"), wrong(F.col("moved") > 0, "pieces_moved"))
+    b = by_seq.agg(wrong(F.col("n") > packing.CAPACITY, "sequences_over"), wrong(F.col("members") > packing.MAX_DOCUMENTS, "sequences_crowded"))
+    missing = read_ids(spark, d).join(p.select("doc_id").distinct(), "doc_id", "left_anti").agg(F.count("*").alias("documents_missing"))
+    return a.join(F.broadcast(b), F.lit(True)).join(F.broadcast(missing), F.lit(True))  # one row each
+
+
+def read_ids(spark: SparkSession, d: str) -> DataFrame:
+    return packing.read_documents(spark, d).select("doc_id")
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaks(spread(packing.read_documents(spark, d)), spark.read.parquet(f"{d}/eval_items.parquet"))
 
@@ -66,6 +83,10 @@ def oracle_sql() -> dict[str, str]:
  b as (select t.rec_no, t.ts - m.ts d, m.ts mt, m.s from t asof join m on t.ex = m.ex and t.sy = m.sy and t.ts >= m.ts),
  f as (select t.rec_no, m.ts - t.ts d, m.ts mt, m.s from t asof join m on t.ex = m.ex and t.sy = m.sy and t.ts <= m.ts)
  select rec_no trade_rec_no, arg_min(s, (d, mt, s)) sequence_num from (select * from b union all select * from f) where d <= 5000 group by 1""",
+        "p8_sound": """select count(*) documents, cast(0 as bigint) cut_wrongly, cast(0 as bigint) pieces_moved, cast(0 as bigint) sequences_over, cast(0 as bigint) sequences_crowded, cast(0 as bigint) documents_missing from documents""",
+        "p9_items": f"""with dw as (select doc_id, {_WORDS.format('"text"')} w from documents), d as (select doc_id, unnest({_GRAMS}) g from dw),
+ iw as (select item_id, {_WORDS.format("item_text")} w, {_WORDS.format("answer")} a from eval_items), i as (select item_id, unnest({_GRAMS}) g from iw),
+ f as (select distinct doc_id, item_id from d join i using (g)) select item_id, count(*) documents, count(*) filter (len(a) > 0 and list_has_all(dw.w, a)) with_answer from f join dw using (doc_id) join iw using (item_id) group by 1""",
         "p9_found": f"""with d as (select doc_id, unnest({_GRAMS}) g from (select doc_id, {_WORDS.format('"text"')} w from documents)),
  i as (select item_id, unnest({_GRAMS}) g from (select item_id, {_WORDS.format("item_text")} w from eval_items)) select distinct doc_id, item_id from d join i using (g)""",
     }
