@@ -393,6 +393,25 @@ def test_changes_between_files(spark):
     }
 
 
+def test_equal_values_in_a_quiet_file_make_no_rename(spark):
+    """bid goes, last comes, and in the one line between them both equal the same two payload keys; the other files tell them apart."""
+    f = lambda s, i, info, **v: ("ax", s, i, json.dumps(v | {"info_json": info}), "clash", None)
+    rows = [f(1, i, {"b": i + 1.0, "l": i + 9.5}, bid=i + 1.0) for i in range(3)] + [f(2, 0, {"b": 7.0, "l": 7.0}, bid=7.0), f(3, 0, {"b": 7.0, "l": 7.0}, last=7.0)]
+    rows += [f(4, i, {"b": i + 1.0, "l": i + 9.5}, last=i + 9.5) for i in range(3)]
+    d = spark.createDataFrame(rows, RAW)
+    got = {tuple(r) for r in drift.changes(d).select("file_seq", "change", "old_field", "new_field").collect()}
+    assert got == {(3, "removed", "bid", ""), (3, "added", "", "last")}
+    assert drift.undecided(d).count() == 0
+    two = spark.createDataFrame([r for r in rows if r[1] in (2, 3)], RAW)
+    assert {(r.file_seq, r.name, tuple(r["keys"])) for r in drift.undecided(two).collect()} == {(2, "bid", ("b", "l")), (3, "last", ("b", "l"))}
+
+
+def test_the_file_before_is_found_across_stretches(spark):
+    rows = [("a", s) for s in (1, 5, 7, 12, 30, 31, 500)] + [("b", 3), ("b", None), (None, 1), (None, 9)]
+    got = {(r.e, r.s): r.prev for r in drift.before(spark.createDataFrame(rows, "e string, s long"), "e", "s", 4).filter("e is not null").collect()}
+    assert got == {("a", 1): None, ("a", 5): 1, ("a", 7): 5, ("a", 12): 7, ("a", 30): 12, ("a", 31): 30, ("a", 500): 31, ("b", 3): None}
+
+
 def test_rescue_and_replay(spark):
     target = {"bid": "double", "bid_volume": "double"}
     t = drift.ingest(spark.createDataFrame(raw_lines(), RAW), target, {}, ["exchange", "file_seq", "line_no"])

@@ -35,9 +35,8 @@ def parse(raw: DataFrame, text: str = "raw") -> DataFrame:
     return p.withColumn("_v", F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.col("_v")))
 
 
-def _json_type(v: Column) -> Column:
-    """number, string, boolean, object or array; null for a JSON null."""
-    s = F.schema_of_variant(v)
+def _json_type(s: Column) -> Column:
+    """number, string, boolean, object or array, from a variant's schema; null for a JSON null."""
     return (
         F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s != "VOID", "number")
     )
@@ -50,27 +49,52 @@ def comparable(text: Column) -> Column:
 
 
 def fields(raw: DataFrame, keys: list[str], text: str = "raw") -> DataFrame:
-    """One row for each value of a parsed line: keys, line, name, type, value (text) and payload (map of texts)."""
-    p = parse(raw.select(*keys, text), text).filter("_v is not null").select(*keys, "_v", F.monotonically_increasing_id().alias("line"))
+    """One row for each value of a parsed line: keys, name, type and agree, the payload keys that have the same value in the line."""
+    p = parse(raw.select(*keys, text), text).filter("_v is not null").select(*keys, "_v")
     info = F.try_variant_get("_v", F.lit(f"$.{PAYLOAD}"), "string")
     p = p.select("*", once(F.transform_values(F.from_json(info, _TEXT_MAP), lambda k, v: comparable(v))).alias("payload"))
-    out = p.select("*", F.from_json(F.to_json("_v"), T.MapType(T.StringType(), T.VariantType())).alias("_m"))
-    out = out.select(*keys, "line", "payload", F.explode("_m").alias("name", "_f"))
-    return out.select(*keys, "line", "payload", "name", _json_type(F.col("_f")).alias("type"), F.try_variant_get("_f", F.lit("$"), "string").alias("value")).filter("type is not null")
+    out = p.select(*keys, "payload", F.explode(F.from_json(F.to_json("_v"), T.MapType(T.StringType(), T.VariantType()))).alias("name", "_f"))
+    own = F.when(F.col("name") != PAYLOAD, comparable(F.try_variant_get("_f", F.lit("$"), "string")))
+    out = out.select(*keys, "payload", "name", F.schema_of_variant("_f").alias("_s"), once(own).alias("_a"))
+    agree = F.when(F.col("_a").isNotNull() & F.array_contains(F.map_values("payload"), F.col("_a")), F.map_keys(F.map_filter("payload", lambda k, v: v == F.col("_a"))))
+    return out.select(*keys, "name", _json_type(F.col("_s")).alias("type"), agree.alias("agree")).filter("type is not null")
+
+
+def counted(raw: DataFrame, keys: list[str], text: str = "raw") -> DataFrame:
+    """How often each file has each field with each type and each set of agreeing payload keys: all else is found from these few rows.
+
+    The only step that reads the lines; they are parsed once and counted before the shuffle.
+    """
+    return materialise(fields(raw, keys, text).groupBy(*keys, "name", "type", "agree").agg(F.count("*").alias("n")), "fields")
+
+
+def measures(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, name, key, hits (lines of the file) and all_hits (of all files that share all keys but the last)."""
+    hits = counts.filter("agree is not null").select(*keys, "name", F.explode("agree").alias("key"), "n").groupBy(*keys, "name", "key").agg(F.sum("n").alias("hits"))
+    wide = [*keys[:-1], "name", "key"]
+    return hits.join(hits.groupBy(*wide).agg(F.sum("hits").alias("all_hits")), wide)
 
 
 def profile(raw: DataFrame, keys: list[str], text: str = "raw") -> DataFrame:
-    """For each file and field its type and its measure, the payload key that most often has its value in the same line."""
-    f = fields(raw, keys, text)
+    """For each file and field its type and its measure, the payload key that most often has its value in the same line.
+
+    Of keys that agree equally often in the file the one that agrees more often in all files counts (``keys`` without the last),
+    then the first by spelling; ``undecided`` lists those.
+    """
+    counts = counted(raw, keys, text)
     by = [*keys, "name"]
-    types = f.groupBy(*by, "type").agg(F.count("*").alias("n"))
+    types = counts.groupBy(*by, "type").agg(F.sum("n").alias("n"))
     types = types.groupBy(*by).agg(F.max_by("type", F.struct("n", F.col("type"))).alias("type"), F.sum("n").alias("n"))
-    # Each value is brought into its comparable form once; only the payload keys that agree with a field become rows.
-    own = f.filter(F.col("name") != PAYLOAD).select(*by, comparable(F.col("value")).alias("a"), "payload")
-    agree = F.map_keys(F.map_filter("payload", lambda k, v: v == F.col("a")))
-    hits = own.select(*by, F.explode(agree).alias("key")).groupBy(*by, "key").agg(F.count("*").alias("hits"))
-    measure = hits.groupBy(*by).agg(F.min_by(F.struct("key", "hits"), F.struct(-F.col("hits"), F.col("key"))).alias("m")).select(*by, F.col("m.key").alias("measure"), F.col("m.hits").alias("hits"))
-    return types.join(measure, by, "left")
+    m = measures(counts, keys).groupBy(*by).agg(F.min(F.struct((-F.col("hits")).alias("h"), (-F.col("all_hits")).alias("a"), F.col("key"))).alias("m"))
+    return types.join(m.select(*by, F.col("m.key").alias("measure"), (-F.col("m.h")).alias("hits")), by, "left")
+
+
+def undecided(raw: DataFrame, exchange: str = "exchange", seq: str = "file_seq", text: str = "raw") -> DataFrame:
+    """exchange, file_seq, name and the payload keys that agree with the field equally often, in the file and in all files."""
+    r = raw.select(normal.exchange(exchange).alias("exchange"), F.col(seq).alias("file_seq"), F.col(text).alias("raw"))
+    keys = ["exchange", "file_seq"]
+    m = measures(counted(r, keys), keys).groupBy(*keys, "name", "hits", "all_hits").agg(F.sort_array(F.collect_list("key")).alias("same"))
+    return m.groupBy(*keys, "name").agg(F.max(F.struct("hits", "all_hits", "same")).alias("m")).select(*keys, "name", F.col("m.same").alias("keys")).filter(F.size("keys") > 1)
 
 
 def renames(raw: DataFrame, target: dict[str, str], approved: dict[str, str], keys: list[str], text: str = "raw") -> dict[str, str]:
@@ -92,19 +116,31 @@ def renames(raw: DataFrame, target: dict[str, str], approved: dict[str, str], ke
     return {r["name"]: r["column"] for r in best(prof.filter("column = ''"), "name").join(columns, "measure").collect()}
 
 
+def before(files: DataFrame, by: str, seq: str, width: int = 100_000) -> DataFrame:
+    """Adds ``prev``, the greatest number below each file's own among the files of its key (null for the first).
+
+    Found within stretches of numbers and carried across them, so no task sorts all files of a key.
+    """
+    d = files.filter(F.col(seq).isNotNull()).withColumn("_st", F.floor(F.col(seq) / width))
+    ends = d.groupBy(by, "_st").agg(F.max(seq).alias("_m"))
+    ends = ends.select(by, "_st", F.lag("_m").over(W.partitionBy(by).orderBy("_st")).alias("_carry"))
+    inner = F.lag(seq).over(W.partitionBy(by, "_st").orderBy(seq))
+    return d.withColumn("_in", inner).join(ends, [by, "_st"]).select(by, seq, F.coalesce("_in", "_carry").alias("prev"))
+
+
 def changes(raw: DataFrame, exchange: str = "exchange", seq: str = "file_seq", text: str = "raw") -> DataFrame:
     """exchange, file_seq, change, old_field, new_field for each file against the one before it.
 
-    Only the profile, a few rows a file, is compared; its windows run over the files of an exchange. A
+    Only the profile, a few rows a file, is compared, each file's with that of the file before it. A
     file none of whose lines parse still counts as a file, without fields.
     """
     r = raw.select(normal.exchange(exchange).alias("exchange"), F.col(seq).alias("file_seq"), F.col(text).alias("raw"))
     prof = profile(r, ["exchange", "file_seq"])
-    known = prof.groupBy("exchange", "file_seq").agg(F.collect_list(F.struct("name", "type", "measure")).alias("fs"))
-    seqs = r.select("exchange", "file_seq").distinct().join(known, ["exchange", "file_seq"], "left")
-    w = W.partitionBy("exchange").orderBy("file_seq")
-    both = seqs.withColumn("fs", F.coalesce("fs", F.array().cast("array<struct<name:string,type:string,measure:string>>")))
-    both = both.select("*", F.lag("fs").over(w).alias("before")).filter("before is not null")
+    known = materialise(prof.groupBy("exchange", "file_seq").agg(F.collect_list(F.struct("name", "type", "measure")).alias("fs")), "known")
+    seqs = before(r.select("exchange", "file_seq").distinct(), "exchange", "file_seq").filter("prev is not null")
+    none = F.array().cast("array<struct<name:string,type:string,measure:string>>")
+    both = seqs.join(known, ["exchange", "file_seq"], "left").join(known.select("exchange", F.col("file_seq").alias("prev"), F.col("fs").alias("before")), ["exchange", "prev"], "left")
+    both = both.withColumns({"fs": F.coalesce("fs", none), "before": F.coalesce("before", none)})
     names = lambda a: F.transform(a, lambda x: x["name"])
     both = both.select(
         "exchange", "file_seq", "fs", "before",
