@@ -121,7 +121,8 @@ def p5_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return smallfiles.superseded(smallfiles.ticker_records(spark.read.parquet(f"{d}/ticker.parquet")))
+    """Remains of earlier consolidations, from the records clustered along the curve."""
+    return smallfiles.superseded(smallfiles.file_records(spark, f"{d}/ticker.parquet"))
 
 
 def p6_compacted(spark: SparkSession, d: str) -> DataFrame:
