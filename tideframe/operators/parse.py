@@ -79,10 +79,21 @@ def stats(messages: DataFrame, by: str = "type") -> DataFrame:
 
 
 def universe(bulk: DataFrame, response: str = "data") -> DataFrame:
-    """A bulk response, an object of symbol to ticker, as one message for each symbol."""
-    m = F.from_json(response, T.MapType(T.StringType(), T.StringType()))
+    """A bulk response as one message for each symbol: an object of symbol to ticker (or list of trades), or a list of tickers or trades that name their symbol.
+
+    Trades of a list are brought together by symbol within their response. Items of a list without a symbol are left out.
+    """
     rest = [c for c in bulk.columns if c not in (response, "symbol")]
-    return bulk.select(*rest, F.explode(m).alias("symbol", response))
+    text = F.trim(response)
+    m = F.from_json(F.when(text.startswith("{"), text), T.MapType(T.StringType(), T.StringType()))
+    by_name = bulk.select(*rest, F.explode(m).alias("symbol", response))
+    items = bulk.filter(text.startswith("[")).select("*", F.monotonically_increasing_id().alias("_r"), F.posexplode(F.from_json(text, T.ArrayType(T.StringType()))).alias("_i", "_d"))
+    items = items.drop("symbol").withColumn("symbol", F.get_json_object("_d", "$.symbol")).filter("symbol is not null")
+    trade = F.coalesce(F.col("type") == "trades", F.lit(False)) if "type" in bulk.columns else F.lit(False)
+    single = items.filter(~trade).select(*rest, "symbol", F.col("_d").alias(response))
+    # The trades of a symbol within one response: bounded by the response.
+    many = items.filter(trade).groupBy("_r", *rest, "symbol").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_d"))), lambda x: x["_d"]), ",").alias("_l"))
+    return by_name.unionByName(single).unionByName(many.select(*rest, "symbol", F.concat(F.lit("["), "_l", F.lit("]")).alias(response)))
 
 
 # The advanced-trade interface.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions import fs
@@ -65,3 +65,69 @@ def write_outputs(outputs: dict[str, DataFrame], root: str, partition_by: dict[s
 def write_segments(df: DataFrame, path: str, max_records: int = 1_000_000) -> None:
     """Rows as NDJSON lines in files of bounded size."""
     df.write.mode("append").option("maxRecordsPerFile", max_records).json(path)
+
+
+def _segment_writer(folder: str, limit: int):
+    """Writes the lines a task is given to files of at most ``limit`` bytes each (a longer line has a file of its own), one hour to a file."""
+
+    def run(batches):
+        import uuid
+
+        import pyarrow as pa
+
+        from tideframe.functions import workerfs
+
+        filesystem, base = workerfs.opened(folder)
+        filesystem.create_dir(base, recursive=True)
+        out, size, lines, hour, path, done = None, 0, 0, None, "", []
+
+        def close():
+            if out is not None:
+                out.close()
+                done.append((hour, path, size, lines))
+
+        for b in batches:
+            for h, text in zip(b.column("hour").to_pylist(), b.column("value").to_pylist()):
+                line = text.encode() + b"\n"
+                if out is None or h != hour or size + len(line) > limit:
+                    close()
+                    path, size, lines, hour = f"{uuid.uuid4().hex}.ndjson", 0, 0, h
+                    out = filesystem.open_output_stream(f"{base}/{path}")
+                out.write(line)
+                size, lines = size + len(line), lines + 1
+        close()
+        if done:
+            h, p, n, k = zip(*done)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(p), pa.array(range(len(done)), pa.int32()), pa.array(n, pa.int64()), pa.array(k, pa.int64())], ["hour", "file", "no", "bytes", "lines"])
+
+    return run
+
+
+def segment_log(lines: DataFrame, root: str, hour: Column, max_mb: float = 100, text: str = "value") -> list[str]:
+    """Lines appended to a log of closed segments, ``ready/segment_YYYYMMDDTHH_NNNNN.ndjson``; gives their paths.
+
+    A segment holds the lines of one hour (``hour``, as YYYYMMDDTHH) and at most ``max_mb``; numbers of an hour go on after those found in
+    ``active``, ``ready`` and ``processing``. Files are written and closed under ``active`` and moved when all are, so that a reader of ``ready``
+    never sees an open one and a repeated task leaves nothing there. Null and blank lines are left out.
+    """
+    import re
+
+    from tideframe.session import materialise, ship
+    from tideframe.sources.segments import SEGMENT
+
+    spark, root = lines.sparkSession, root.rstrip("/")
+    ship(spark)
+    d = lines.select(hour.alias("hour"), F.col(text).alias("value")).filter("value is not null and trim(value) <> ''")
+    made = materialise(d.mapInArrow(_segment_writer(f"{root}/active", int(max_mb * 1e6)), "hour string, file string, no int, bytes long, lines long").withColumn("task", F.spark_partition_id()), "segments")
+    last: dict[str, int] = {}
+    for stage in ("active", "ready", "processing"):
+        for f in fs.files(spark, f"{root}/{stage}", ".ndjson"):
+            m = re.fullmatch(SEGMENT, f.path.rsplit("/", 1)[-1])
+            if m:
+                last[m[1] + "T" + m[2]] = max(last.get(m[1] + "T" + m[2], 0), int(m[3]))
+    out = []
+    for r in made.orderBy("hour", "task", "no").collect():  # one row a segment
+        last[r.hour] = last.get(r.hour, 0) + 1
+        out.append(f"{root}/ready/segment_{r.hour}_{last[r.hour]:05d}.ndjson")
+        fs.rename(spark, f"{root}/active/{r.file}", out[-1])
+    return out
