@@ -339,3 +339,27 @@ def test_feature_rows_and_bars(spark):
     static = features.hf_features(b, None, FeatureConfig(horizons=(5,), use_dynamic_spread_regime=False, keep_raw_arrays=True))
     assert {x.spread_regime for x in static.select("spread_regime").collect()} <= {"tight", "wide"} and "bids" in static.columns
     assert features.hf_features(b.limit(0), t.limit(0), cfg).count() == 0
+
+
+def test_levels_that_stand_for_long_are_covered_by_few_blocks(spark):
+    """Two changes ten thousand million sequences apart."""
+    rows = [("x", "s", 1, "bid", 10.0, 1.0), ("x", "s", 2, "ask", 11.0, 2.0), ("x", "s", 10**10, "bid", 9.0, 3.0), ("x", "s", 10**10 + 5, "bid", 10.0, 0.0)]
+    d = spark.createDataFrame(rows, "exchange string, symbol string, sequence_num long, side string, price_level double, new_quantity double")
+    got = {r.sequence_num: (r.best_bid, r.best_ask) for r in asof.book_states(d, ["exchange", "symbol"]).collect()}
+    assert got == {1: (None, None), 2: (10.0, 11.0), 10**10: (10.0, 11.0), 10**10 + 5: (9.0, 11.0)}
+    for r, spans in ((2, [(5, 6), (7, 300), (16, 32)]), (16, [(0, 10**10), (5, 6), (7, 300), (16, 32)])):
+        b = asof._blocks(spark.createDataFrame(spans, "a long, b long"), "a", "b", 8, r).collect()
+        assert len(b) < 400
+        for lo, hi in spans:
+            parts = sorted((x._b * r**x._lv, (x._b + 1) * r**x._lv) for x in b if (x.a, x[1]) == (lo, hi))
+            assert parts[0][0] == lo and parts[-1][1] == hi and all(p[1] == q[0] for p, q in zip(parts, parts[1:]))
+
+
+def test_splits_of_hot_keys_do_not_multiply_the_input(spark):
+    from tideframe.operators import split
+
+    d = spark.createDataFrame([("a", i, i) for i in range(300)] + [("b", 1, 1)], "k string, ts long, seq long").filter("ts >= 0")
+    relations = lambda x: x._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    one = split.split_hot(d, ["k"], "ts", horizon=5, rows_per_chunk=50, bucket=10)
+    two = split.split_hot(split.own(one), ["k"], "ts", last_rows=1, order=["seq"], rows_per_chunk=50, bucket=10)
+    assert relations(two) <= relations(one) + 6 and split.own(two).count() == 301

@@ -91,27 +91,47 @@ def level_intervals(changes: DataFrame, by: list[str], seq: str, price: str, qua
     return one.select(*by, F.col("_side").alias("side"), price, F.col(f"_v.{quantity}").alias(quantity), F.col(seq).alias("from_seq"), nxt.alias("to_seq"), F.col("_v._gone").alias("_gone")).filter("not _gone").drop("_gone")
 
 
-def book_states(changes: DataFrame, by: list[str], seq: str = "sequence_num", price: str = "price_level", quantity: str = "new_quantity", side: str = "side", removed: Column | None = None, width: int = 256) -> DataFrame:
+#: Size of a block of sequences in blocks of the level below.
+RADIX = 16
+
+
+def _blocks(iv: DataFrame, low: str, high: str, levels: int, radix: int) -> DataFrame:
+    """Adds ``_lv`` and ``_b``: each interval [low, high) as the fewest blocks of sizes radix^level, numbered by their place.
+
+    At every level the blocks that lie in the interval but in no block of the next level that does: two stretches of less than radix each.
+    """
+    d = iv.withColumn("_lv", F.explode(F.array(*[F.lit(i) for i in range(levels + 1)])))
+    size = F.element_at(F.array(*[F.lit(radix**i).cast("long") for i in range(levels + 2)]), F.col("_lv") + 1)
+    d = d.withColumn("_s", size)
+    down = lambda x, s: f"(({x} - pmod({x}, {s})) div {s})"
+    up = lambda x, s: down(f"({x} + {s} - 1)", s)
+    d = d.withColumns({"_a": F.expr(up(low, "_s")), "_e": F.expr(down(high, "_s")), "_a1": F.expr(up(low, f"(_s * {radix})")) * radix, "_e1": F.expr(down(high, f"(_s * {radix})")) * radix})
+    some = lambda lo, hi: F.when(F.col(lo) < F.col(hi), F.sequence(F.col(lo), F.col(hi) - 1)).otherwise(F.array().cast("array<bigint>"))
+    inner = (F.col("_a1") < F.col("_e1")) & (F.col("_lv") < levels)
+    d = d.withColumn("_b", F.explode(F.when(inner, F.concat(some("_a", "_a1"), some("_e1", "_e"))).otherwise(some("_a", "_e"))))
+    return d.drop("_s", "_a", "_e", "_a1", "_e1")
+
+
+def book_states(changes: DataFrame, by: list[str], seq: str = "sequence_num", price: str = "price_level", quantity: str = "new_quantity", side: str = "side", removed: Column | None = None, width: int = RADIX) -> DataFrame:
     """Best quotes after each message of a level-2 feed: best_bid, best_bid_size, best_ask, best_ask_size, mid_price, spread, spread_bps.
 
     Each level stands from its change to the next of the same level; a snapshot sets its levels and clears none. A level
-    that stands for long does not meet every message: for each block of ``width`` sequences the levels standing throughout are
-    first reduced to the best of each side, and only levels that change within the block meet its messages. Null until
-    both sides have a level.
+    that stands for long does not meet every message: its stretch of sequences is covered by blocks of growing size, at most
+    twice ``width`` for each power of it in its length; blocks are reduced to the best of each side, and a message asks the one block of each size
+    it lies in. Null until both sides have a level.
     """
     iv = level_intervals(changes, by, seq, price, quantity, side, removed)
-    ticks = changes.filter(F.col(seq).isNotNull()).select(*by, F.col(seq).alias("seq")).distinct().withColumn("_b", F.expr(f"seq div {width}"))
+    ticks = changes.filter(F.col(seq).isNotNull()).select(*by, F.col(seq).cast("long").alias("seq")).distinct()
     ends = ticks.groupBy(*by).agg((F.max("seq") + 1).alias("_end"))
-    iv = iv.join(ends, by).withColumn("to_seq", F.coalesce("to_seq", "_end")).drop("_end")
+    iv = materialise(iv.join(ends, by).withColumn("to_seq", F.coalesce("to_seq", "_end")).drop("_end"), "levels")
+    longest = iv.agg(F.max(F.col("to_seq") - F.col("from_seq"))).first()[0] or 1
+    levels = 0
+    while width ** (levels + 1) <= longest and width ** (levels + 2) < 1 << 62:
+        levels += 1
     best = lambda s, p, q: (F.max(F.when(F.col("side") == s, F.struct(F.col(p).alias("p"), F.col(q).alias("q")))) if s == "bid" else F.min(F.when(F.col("side") == s, F.struct(F.col(p).alias("p"), F.col(q).alias("q")))))
-    blocks = iv.withColumn("_b", F.explode(F.sequence(F.expr(f"from_seq div {width}"), F.expr(f"(to_seq - 1) div {width}"))))
-    whole = (F.col("from_seq") <= F.col("_b") * width) & (F.col("to_seq") >= (F.col("_b") + 1) * width)
-    standing = blocks.filter(whole).groupBy(*by, "_b").agg(best("bid", price, quantity).alias("_wb"), best("ask", price, quantity).alias("_wa"))
-    part = ticks.join(blocks.filter(~whole), [*by, "_b"]).filter((F.col("seq") >= F.col("from_seq")) & (F.col("seq") < F.col("to_seq")))
-    part = part.groupBy(*by, "seq").agg(best("bid", price, quantity).alias("_pb"), best("ask", price, quantity).alias("_pa"))
-    j = ticks.join(standing, [*by, "_b"], "left").join(part, [*by, "seq"], "left")
-    bid, ask = F.greatest("_wb", "_pb"), F.least("_wa", "_pa")
-    j = j.select(*by, F.col("seq").alias(seq), bid.alias("_bid"), ask.alias("_ask"))
+    standing = _blocks(iv, "from_seq", "to_seq", levels, width).groupBy(*by, "_lv", "_b").agg(best("bid", price, quantity).alias("_wb"), best("ask", price, quantity).alias("_wa"))
+    asked = ticks.select(*by, "seq", F.posexplode(F.array(*[F.expr(f"(seq - pmod(seq, {width**i}L)) div {width**i}L") for i in range(levels + 1)])).alias("_lv", "_b"))
+    j = asked.join(standing, [*by, "_lv", "_b"], "left").groupBy(*by, "seq").agg(F.max("_wb").alias("_bid"), F.min("_wa").alias("_ask")).withColumnRenamed("seq", seq)
     both = F.col("_bid").isNotNull() & F.col("_ask").isNotNull()
     b, a = F.when(both, F.col("_bid.p")), F.when(both, F.col("_ask.p"))
     mid = (b + a) / 2

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideframe.session import small
+from tideframe.session import materialise, small
 
 ROWS_PER_CHUNK = 2_000_000
 CHUNK, HALO = "_chunk", "_halo"
@@ -39,6 +39,8 @@ def split_hot(df: DataFrame, by: list[str], ts: str, horizon: int = 0, last_rows
     hot = hot_keys(df, by, rows_per_chunk) if hot is None else hot
     if not hot:
         return whole
+    # The rows are asked several times below: from a table, so that what made them runs once, however splits follow one another.
+    df = materialise(df, "split")
     # Sides are renamed, so that frames of one source can meet; null keys are keys like any other.
     ren = lambda t, *rest: t.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], *rest)
     on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]

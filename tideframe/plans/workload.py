@@ -173,11 +173,10 @@ def l_distinct_on(spark: SparkSession, d: str) -> DataFrame:
 
 
 def m_book_order(spark: SparkSession, d: str) -> DataFrame:
-    """The rank of each change within its source, by sequence and time."""
-    from pyspark.sql import Window as W
-
-    o = table(spark, d, "orderbook").select(normal.exchange("exchange").alias("exchange"), "symbol", "sequence_num").distinct()
-    return o.withColumn("place", F.row_number().over(W.partitionBy("exchange", "symbol").orderBy("sequence_num")))
+    """The rank of each change within its source, by sequence; counted within stretches of sequences and carried across them."""
+    o = table(spark, d, "orderbook").select(normal.exchange("exchange").alias("exchange"), "symbol", "sequence_num").distinct().withColumn("one", F.lit(1))
+    r = bars.running_sum(o, ["exchange", "symbol"], ["sequence_num"], "one", "place", F.coalesce(F.expr("sequence_num div 4096"), F.lit(-1)))
+    return r.select("exchange", "symbol", "sequence_num", F.col("place").cast("int").alias("place"))
 
 
 def m_tiers(spark: SparkSession, d: str) -> DataFrame:

@@ -217,25 +217,23 @@ def stateful_book(changes: DataFrame, delay: str = "10 seconds") -> DataFrame:
             waiting += [(int(r.sequence_num), int(r.ts), bool(r.removed), r.side, float(r.price_level), float(r.new_quantity) if r.new_quantity == r.new_quantity and r.new_quantity is not None else 0.0) for r in f.itertuples(index=False)]
         mark = state.getCurrentWatermarkMs()
         waiting.sort()
-        n = 0
-        while n < len(waiting) and waiting[n][1] <= mark:
-            n += 1
-        out = []
-        for i, (seq, _, gone, side, price, qty) in enumerate(waiting[:n]):
+        # A row whose time lies far ahead waits alone: it holds up no other, and counts as overtaken if others of greater sequence went first.
+        known, waiting = [w for w in waiting if w[1] <= mark], [w for w in waiting if w[1] > mark]
+        n, out = len(known), []
+        for i, (seq, _, gone, side, price, qty) in enumerate(known):
             if seq >= done:  # an overtaken message no longer changes what came after it
                 if gone:
                     sides[side].pop(price, None)
                 else:
                     sides[side][price] = qty
                 done = seq
-                if i + 1 == n or waiting[i + 1][0] != seq:
+                if i + 1 == n or known[i + 1][0] != seq:
                     bid, ask = max(sides["bid"], default=None), min(sides["ask"], default=None)
                     both = bid is not None and ask is not None
                     out.append((*key, seq, bid if both else None, ask if both else None))
-        del waiting[:n]
         state.update((pickle.dumps((waiting, sides, done)),))
         if waiting:
-            state.setTimeoutTimestamp(max(mark + 1, waiting[0][1] + 1))
+            state.setTimeoutTimestamp(max(mark + 1, min(w[1] for w in waiting) + 1))
         if out:
             yield pd.DataFrame(out, columns=QUOTES.names).astype({"best_bid": "float64", "best_ask": "float64"})
 
