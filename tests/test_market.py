@@ -310,6 +310,19 @@ def test_downsampling_over_cut_keys(spark, parts):
     assert got == want
 
 
+def test_kept_rows_are_not_broadcast(spark):
+    """They may be as many as the rows, though a frame made by Python has no size that Spark knows."""
+    rows = [(None if i % 3 == 0 else "a", i * 400, i, f"x{i}") for i in range(60)] + [("a", 400, 1, "again"), ("b", None, 7, "no time")]
+    got = features.downsample(spark.createDataFrame(rows, "k string, ts long, seq long, v string"), ["k"], "ts", 1000)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    last, want = {}, []
+    for k, ts, seq, v in sorted((r for r in rows if r[1] is not None), key=lambda r: (str(r[0]), r[1], r[2])):
+        if ts - last.get(k, 0) >= 1000:
+            last[k] = ts
+            want.append((k, ts, seq, v))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
 def test_feature_rows_and_bars(spark):
     rows = random_books(120, 2, 21)
     r = random.Random(22)

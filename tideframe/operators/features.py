@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideframe.config import FeatureConfig
 from tideframe.functions import normal
 from tideframe.operators import asof, bars, book, flow, rolling, split
 from tideframe.operators.ordered import OrderedTable
+from tideframe.session import materialise
 
 BY = ["exchange", "symbol"]
 
@@ -43,11 +45,30 @@ def _greedy(times, last: int, interval: int) -> list[int]:
 
 
 def downsample(df: DataFrame, by: list[str], ts: str, interval_ms: int, seq: str = "seq", partitions: int | None = None) -> DataFrame:
-    """Rows at least ``interval_ms`` after the last row kept of their key, greedily, from a last row at time 0.
+    """Rows at least ``interval_ms`` after the last row kept of their key, greedily, from a last row at time 0. Rows without a time are left out."""
+    return mark(df, chain(df, by, ts, interval_ms, seq, partitions), by, ts, seq).filter("_kept").drop("_kept")
+
+
+def mark(df: DataFrame, kept: DataFrame, by: list[str], ts: str, seq: str = "seq", together: bool = False) -> DataFrame:
+    """The rows with a time, and ``_kept``: whether ``kept``, the result of ``chain``, names them.
+
+    The names go with the rows through one shuffle: they may be as many as the rows, and Spark takes a frame made by Python for
+    a tiny one, which a join would broadcast. ``together``: rows of a key come to one partition, as the windows of a key need them.
+    """
+    null = {c: F.lit(None).cast(df.schema[c].dataType) for c in df.columns}
+    name = null | {c: F.col(c) for c in by} | {ts: F.col("_t"), seq: F.col("_q").cast(df.schema[seq].dataType)}
+    u = df.filter(F.col(ts).isNotNull()).withColumn("_m", F.lit(None).cast("boolean")).unionByName(kept.select(*[x.alias(c) for c, x in name.items()], F.lit(True).alias("_m")))
+    w = W.partitionBy(*by, ts, F.col(seq).cast("long"))
+    u = (u.repartition(*by) if together else u).withColumn("_kept", F.coalesce(F.max("_m").over(w), F.lit(False)))
+    return u.filter("_m is null").drop("_m")
+
+
+def chain(df: DataFrame, by: list[str], ts: str, interval_ms: int, seq: str = "seq", partitions: int | None = None) -> DataFrame:
+    """Key, time ``_t`` and ``_q`` of the rows that ``downsample`` keeps.
 
     Each choice rests on the one before, yet a key may lie in many partitions: one that holds nothing else tells, for each of
     the few times at which a chain can enter it (those within one interval of its start), where that chain leaves it.
-    The entries are then known for all partitions from these short tables. Rows without a time are left out.
+    The entries are then known for all partitions from these short tables.
     """
     narrow = df.filter(F.col(ts).isNotNull()).select(*by, F.col(ts).alias("_t"), F.col(seq).cast("long").alias("_q"))
     table = OrderedTable(narrow, [*by, "_t", "_q"], partitions, 0 if partitions else narrow.count())
@@ -94,9 +115,7 @@ def downsample(df: DataFrame, by: list[str], ts: str, interval_ms: int, seq: str
             keep += [a + i for i in _greedy(times[a:b], entry if k == 0 else 0, interval_ms)]
         return t.select([*by, "_t", "_q"]).take(pa.array(keep, pa.int64()))
 
-    kept = table.scan(choose, narrow.schema, entries)
-    cond = [df[c].eqNullSafe(kept[c]) for c in by] + [df[ts] == kept["_t"], df[seq].cast("long") == kept["_q"]]
-    return df.join(kept, cond, "left_semi")
+    return table.scan(choose, narrow.schema, entries)
 
 
 def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY) -> DataFrame:
@@ -119,19 +138,28 @@ def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY)
     return d.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
 
 
-def book_rows(books: DataFrame, cfg: FeatureConfig, by: list[str] = BY, hot: list | None = None) -> DataFrame:
-    """Snapshot features and flow of each book; needs ts, seq, bids, asks. One scan, one shuffle by key."""
+def book_rows(books: DataFrame, cfg: FeatureConfig, by: list[str] = BY, hot: list | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Snapshot features and flow of each book, with the ``carry`` columns; needs ts, seq, bids, asks. One scan, one shuffle by key."""
     b = book.normalise(books.filter("ts is not null"))
-    f = book.snapshot_features(b, cfg.max_levels, cfg.bands_bps, keep_raw_arrays=True, carry=[*by, "ts", "seq"])
+    f = book.snapshot_features(b, cfg.max_levels, cfg.bands_bps, keep_raw_arrays=True, carry=[*by, "ts", "seq", *carry])
     f = f.withColumns({"bid_size": F.get("bids", F.lit(0))["size"], "ask_size": F.get("asks", F.lit(0))["size"]})
     f = flow.snapshot_flow(f, by, levels=min(cfg.ofi_levels, cfg.max_levels), alpha=cfg.ofi_decay_alpha, hot=hot)
     return f if cfg.keep_raw_arrays else f.drop("bids", "asks")
 
 
 def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig = FeatureConfig(), by: list[str] = BY, every_row: bool = False) -> DataFrame:
-    """The feature row of each book that is emitted (all with ``every_row``)."""
-    hot = split.hot_keys(books, by)
-    f = book_rows(books, cfg, by, hot)
+    """The feature row of each book that is emitted (all with ``every_row``).
+
+    Which books are emitted rests on their times alone, and is found before the row has its many columns: these are not shuffled again.
+    """
+    if every_row:
+        hot = split.hot_keys(books, by)
+    else:
+        # The books are asked four times: from a table, so that what made them runs once.
+        books = materialise(books.filter("ts is not null").select(*by, "ts", "seq", "bids", "asks"), "books")
+        hot = split.hot_keys(books, by)
+        books = mark(books, chain(books, by, "ts", int(cfg.hf_emit_interval * 1000)), by, "ts", together=not hot)
+    f = book_rows(books, cfg, by, hot, () if every_row else ("_kept",))
     r = rolling.Rolling(by)
     horizon = max(*cfg.horizons, cfg.depth_window, cfg.spread_regime_window, cfg.kyle_lambda_window, cfg.slope_window)
     f = split.split_hot(f, by, "ts", horizon=int(horizon * 1000), hot=hot)
@@ -195,7 +223,7 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
             vol |= {f"tfi_{h}s": F.when(b + s > 0, (b - s) / (b + s)).otherwise(F.lit(0.0)), f"trade_vol_{h}s": b + s}
         f = f.withColumns(vol).drop("_t_ts", *[f"_t_{v}" for v in vals])
     f = f.drop("bid_size", "ask_size")
-    return f if every_row else downsample(f, by, "ts", int(cfg.hf_emit_interval * 1000))
+    return f if every_row else f.filter("_kept").drop("_kept")
 
 
 def feature_bars(books: DataFrame, cfg: FeatureConfig = FeatureConfig(), by: list[str] = BY, keep_open: bool = False) -> DataFrame:
