@@ -310,6 +310,32 @@ def test_downsampling_over_cut_keys(spark, parts):
     assert got == want
 
 
+def test_running_asof_equals_stretches(spark):
+    """With no hot key one running value does; null keys match nothing."""
+    r = random.Random(5)
+    key = lambda: r.choice(["a", "b", None])
+    left = spark.createDataFrame([(key(), r.randrange(0, 20_000_000, 500_000), i) for i in range(80)], "k string, ts long, seq long")
+    right = [(key(), r.randrange(0, 20_000_000, 500_000), i + 0.5) for i in range(40)]
+    once = {(k, t): v for k, t, v in right}
+    rows = spark.createDataFrame([(k, t, v) for (k, t), v in once.items()], "k string, ts long, v double")
+    got = {x.seq: (x.asof_ts, x.asof_v) for x in asof.asof_last(left, rows, ["k"], "ts", ["v"], hot=[]).collect()}
+    want = {}
+    for x in left.collect():
+        mine = max(((t, v) for (k, t), v in once.items() if k == x.k and t <= x.ts), default=(None, None)) if x.k is not None else (None, None)
+        want[x.seq] = mine
+    assert got == want
+
+
+def test_feature_row_takes_its_trades_before_its_columns(spark):
+    """No join of the row with anything, so neither is its width shuffled nor the kept rows broadcast."""
+    side = [(10.0, 1.0), (9.0, 2.0)]
+    b = spark.createDataFrame([("e", "s", 100_000 * i, i, side, [(11.0, 1.0)]) for i in range(1, 6)], "exchange string, symbol string, ts long, seq long, bids array<struct<price:double,size:double>>, asks array<struct<price:double,size:double>>")
+    t = spark.createDataFrame([("e", "s", 100_000 * i - 1, i, "buy", 2.0) for i in range(1, 6)], "exchange string, symbol string, ts long, seq long, side string, amount double")
+    f = features.hf_features(b, t, FeatureConfig(horizons=(60,)))
+    assert "Join" not in f._jdf.queryExecution().executedPlan().toString()
+    assert [(x.tfi_60s, x.trade_vol_60s) for x in f.collect()] == [(1.0, 2.0)] * 5
+
+
 def test_kept_rows_are_not_broadcast(spark):
     """They may be as many as the rows, though a frame made by Python has no size that Spark knows."""
     rows = [(None if i % 3 == 0 else "a", i * 400, i, f"x{i}") for i in range(60)] + [("a", 400, 1, "again"), ("b", None, 7, "no time")]

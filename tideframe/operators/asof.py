@@ -18,12 +18,13 @@ from tideframe.session import materialise
 STRETCH = 3_600_000
 
 
-def asof_last(left: DataFrame, right: DataFrame, by: list[str], ts: str, values: list[str], seq: str | None = None, strict: bool = False, tolerance: int | None = None, prefix: str = "asof_") -> DataFrame:
+def asof_last(left: DataFrame, right: DataFrame, by: list[str], ts: str, values: list[str], seq: str | None = None, strict: bool = False, tolerance: int | None = None, prefix: str = "asof_", hot: list | None = None) -> DataFrame:
     """Adds ``prefix + value`` for each value and ``prefix + ts``: those of the right row as of the left row's time.
 
     At equal times a right row counts (unless ``strict``), or, with ``seq`` on both sides, if its seq is not greater. Null if there
     is none, or it is more than ``tolerance`` back. Rows with a null key or time match nothing. No task holds a
-    key's whole history: last values are found within stretches of time and carried across them.
+    key's whole history: last values are found within stretches of time and carried across them, unless it is known (``hot``
+    is empty) that no key of either side is hot: then one running value does, and both sides are read once.
     """
     cols = left.columns
     rank = F.lit(1 if strict else 0)
@@ -32,6 +33,10 @@ def asof_last(left: DataFrame, right: DataFrame, by: list[str], ts: str, values:
     l = left.select(*[F.col(c) for c in cols], F.lit(None).cast(_struct(right, ts, values)).alias("_v"), s.alias("_s"), F.lit(1 - (1 if strict else 0)).alias("_k"), F.lit(True).alias("_left"))
     v = F.struct(F.col(ts), *[F.col(c) for c in values])
     r = right.filter(F.col(ts).isNotNull()).select(*[F.col(c) if c in (*by, ts) else none(left, c).alias(c) for c in cols], v.alias("_v"), s.alias("_s"), rank.alias("_k"), F.lit(False).alias("_left"))
+    if hot is not None and not hot:
+        u = l.unionByName(r.dropna(subset=by))
+        j = u.withColumn("_got", F.last("_v", ignorenulls=True).over(W.partitionBy(*by).orderBy(ts, "_s", "_k").rowsBetween(W.unboundedPreceding, 0))).filter("_left")
+        return _brought(j, cols, ts, values, tolerance, prefix)
     u = l.unionByName(r).withColumn("_st", F.expr(f"`{ts}` div {STRETCH}"))
     order = [F.col(ts), F.col("_s"), F.col("_k")]
     inner = F.last("_v", ignorenulls=True).over(W.partitionBy(*by, "_st").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
@@ -40,6 +45,10 @@ def asof_last(left: DataFrame, right: DataFrame, by: list[str], ts: str, values:
     carried = F.last("_e._v", ignorenulls=True).over(W.partitionBy(*by).orderBy("_st").rowsBetween(W.unboundedPreceding, -1))
     marks = marks.select(*by, "_st", carried.alias("_carry"))
     j = u.withColumn("_in", inner).filter("_left").join(marks, [*by, "_st"], "left").withColumn("_got", F.coalesce("_in", "_carry"))
+    return _brought(j, cols, ts, values, tolerance, prefix)
+
+
+def _brought(j: DataFrame, cols: list[str], ts: str, values: list[str], tolerance: int | None, prefix: str) -> DataFrame:
     if tolerance is not None:
         j = j.withColumn("_got", F.when(F.col(ts) - F.col(f"_got.{ts}") <= tolerance, F.col("_got")))
     return j.select(*cols, F.col(f"_got.{ts}").alias(prefix + ts), *[F.col(f"_got.{c}").alias(prefix + c) for c in values])

@@ -118,14 +118,14 @@ def chain(df: DataFrame, by: list[str], ts: str, interval_ms: int, seq: str = "s
     return table.scan(choose, narrow.schema, entries)
 
 
-def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY) -> DataFrame:
+def trade_flow(trades: DataFrame, horizons: tuple[int, ...], by: list[str] = BY, hot: list | None = None) -> DataFrame:
     """Bought and sold volume of the last seconds at each trade; needs ts, seq, side and amount. Rows without time, side or amount are no trades."""
     s = normal.trade_side("side")
     t = trades.filter("ts is not null and amount is not null").withColumn("_s", s).filter(F.col("_s").isin("buy", "sell"))
     t = t.select(*by, "ts", "seq", F.when(F.col("_s") == "buy", F.col("amount")).otherwise(F.lit(0.0)).alias("_buy"), F.when(F.col("_s") == "sell", F.col("amount")).otherwise(F.lit(0.0)).alias("_sell"))
     # A buy evicts only buys: each side's window ends at that side's last trade.
     r = rolling.Rolling(by, parts=[split.CHUNK])
-    hot = split.hot_keys(t, by)
+    hot = split.hot_keys(t, by) if hot is None else hot
     d = rolling.prepare(t, by, "ts", "seq", max(horizons), hot=hot)
     cols = {}
     for h in horizons:
@@ -150,7 +150,8 @@ def book_rows(books: DataFrame, cfg: FeatureConfig, by: list[str] = BY, hot: lis
 def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig = FeatureConfig(), by: list[str] = BY, every_row: bool = False) -> DataFrame:
     """The feature row of each book that is emitted (all with ``every_row``).
 
-    Which books are emitted rests on their times alone, and is found before the row has its many columns: these are not shuffled again.
+    Which books are emitted rests on their times alone, and the flow of trades on the trades; both are found before the row has its
+    many columns, so that these are not shuffled again.
     """
     if every_row:
         hot = split.hot_keys(books, by)
@@ -159,7 +160,14 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
         books = materialise(books.filter("ts is not null").select(*by, "ts", "seq", "bids", "asks"), "books")
         hot = split.hot_keys(books, by)
         books = mark(books, chain(books, by, "ts", int(cfg.hf_emit_interval * 1000)), by, "ts", together=not hot)
-    f = book_rows(books, cfg, by, hot, () if every_row else ("_kept",))
+    flows = []
+    if trades is not None:
+        hot_trades = split.hot_keys(trades, by)
+        tf = trade_flow(trades, cfg.horizons, by, hot_trades)
+        vals = [c for c in tf.columns if c not in (*by, "ts", "seq")]
+        books = asof.asof_last(books.filter("ts is not null").select(*by, "ts", "seq", "bids", "asks", *([] if every_row else ["_kept"])), tf, by, "ts", vals, prefix="_t_", hot=[*hot, *hot_trades])
+        flows = ["_t_ts", *[f"_t_{v}" for v in vals]]
+    f = book_rows(books, cfg, by, hot, (*([] if every_row else ["_kept"]), *flows))
     r = rolling.Rolling(by)
     horizon = max(*cfg.horizons, cfg.depth_window, cfg.spread_regime_window, cfg.kyle_lambda_window, cfg.slope_window)
     f = split.split_hot(f, by, "ts", horizon=int(horizon * 1000), hot=hot)
@@ -213,15 +221,12 @@ def hf_features(books: DataFrame, trades: DataFrame | None, cfg: FeatureConfig =
         "hour_of_day": F.hour(t), "day_of_week": F.weekday(t), "is_weekend": (F.weekday(t) >= 5).cast("int"), "minute_of_hour": F.minute(t), "date": F.date_format(t, "yyyy-MM-dd"), "mlofi_step": ml, "timestamp": F.col("ts"),
     })
     if trades is not None:
-        tf = trade_flow(trades, cfg.horizons, by)
-        vals = [c for c in tf.columns if c not in (*by, "ts", "seq")]
-        f = asof.asof_last(f, tf, by, "ts", vals, prefix="_t_")
         vol = {}
         for h in cfg.horizons:
             live = (F.col("ts") - F.col("_t_ts") < h * 1000) if cfg.evict_on_snapshot else F.lit(True)
             b, s = (F.coalesce(F.when(live, F.col(f"_t_{k}_{h}")), F.lit(0.0)) for k in ("buy", "sell"))
             vol |= {f"tfi_{h}s": F.when(b + s > 0, (b - s) / (b + s)).otherwise(F.lit(0.0)), f"trade_vol_{h}s": b + s}
-        f = f.withColumns(vol).drop("_t_ts", *[f"_t_{v}" for v in vals])
+        f = f.withColumns(vol).drop(*flows)
     f = f.drop("bid_size", "ask_size")
     return f if every_row else f.filter("_kept").drop("_kept")
 
